@@ -61,7 +61,7 @@ def _closed_syllable(word: str) -> bool:
     return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
 
 
-def _longest_first(word: str, rules, keep) -> str:
+def _first_fit(word: str, rules, keep) -> str:
     """Apply the first rule whose suffix fits; if its stem is refused the word stays."""
     for suffix, new in rules:
         if word.endswith(suffix):
@@ -102,9 +102,9 @@ def _final_y(word: str) -> str:
 def _double_suffix(word: str) -> str:
     while word.endswith("alli") and _measure(word[:-4]) > 0:
         word = word[:-2]
-    if word.endswith("logi") and not word.endswith(("fulli",)):
+    if word.endswith("logi"):
         return word[:-1] if _measure(word[:-3]) > 0 else word
-    return _longest_first(word, _STEP_2, lambda base: _measure(base) > 0)
+    return _first_fit(word, _STEP_2, lambda base: _measure(base) > 0)
 
 
 def _single_suffix(word: str) -> str:
@@ -130,7 +130,7 @@ def stem(word: str) -> str:
     if word in IRREGULAR or len(word) <= 2:
         return IRREGULAR.get(word, word)
     word = _final_y(_past_and_progressive(_plural(word)))
-    word = _longest_first(_double_suffix(word), _STEP_3, lambda base: _measure(base) > 0)
+    word = _first_fit(_double_suffix(word), _STEP_3, lambda base: _measure(base) > 0)
     return _final_e_and_double_l(_single_suffix(word))
 
 
