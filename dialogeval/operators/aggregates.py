@@ -75,7 +75,7 @@ def exact_quantiles(
     near = 2.0 / accuracy
     cut_shares = sorted({min(max(q + d, 0.0), 1.0) for q in quantiles.values() for d in (-near, near)})
     cuts = df.groupBy(*by).agg(
-        F.percentile_approx(value, [F.lit(s) for s in cut_shares], accuracy).alias("_cuts"),
+        F.percentile_approx(value, cut_shares, accuracy).alias("_cuts"),
         F.count(value).alias("_total"),
     )
     placed = counted.join(cuts, by).withColumn(
@@ -125,8 +125,8 @@ def win_counts(votes: DataFrame, label_map: DataFrame, split_ties: bool = False)
     """Votes for each label of the map, zeros kept. A tie such as `1,3` names no label by default."""
     winners = votes.where(F.col("winner").isNotNull()).select("winner")
     if split_ties:
-        parts = F.explode(F.split("winner", ","))
-        winners = winners.select(text.py_strip(parts).alias("winner"))
+        parts = F.transform(F.split("winner", ","), text.py_strip)
+        winners = winners.select(F.explode(parts).alias("winner"))
     counts = winners.groupBy("winner").agg(F.count(F.lit(1)).alias("wins"))
     return label_map.join(counts, label_map["label"] == counts["winner"], "left").select(
         "position", "model", "label", F.coalesce("wins", F.lit(0)).alias("wins")

@@ -17,12 +17,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from dialogeval.functions import text
 
 # A vector table up to this size is shipped to the workers once; a larger one is joined.
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
-RESULT = "bert_precision double, bert_recall double, bert_f1 double"
+SCORES = ["bert_precision", "bert_recall", "bert_f1"]
+RESULT = StructType([StructField(name, DoubleType()) for name in SCORES])
 # Rows of the similarity matrix computed at a time; bounds memory for very long texts.
 BLOCK = 1024
 
@@ -76,9 +78,8 @@ def bert_score(
 def _finish(df: DataFrame, score: Column, output_col: str, reference_col: str) -> DataFrame:
     present = F.col(output_col).isNotNull() & F.col(reference_col).isNotNull()
     scored = df.withColumn("_score", score)
-    names = [part.split()[0] for part in RESULT.split(", ")]
     return scored.withColumns(
-        {n: F.when(present, F.coalesce(F.col(f"_score.{n}"), F.lit(0.0))) for n in names}
+        {n: F.when(present, F.coalesce(F.col(f"_score.{n}"), F.lit(0.0))) for n in SCORES}
     ).drop("_score")
 
 
@@ -101,7 +102,7 @@ def _score_with_shipped_vectors(
 
         for said, given in batches:
             rows = [greedy_match(*side(s), *side(g)) for s, g in zip(said, given)]
-            yield pd.DataFrame(rows, columns=["bert_precision", "bert_recall", "bert_f1"], dtype="float64")
+            yield pd.DataFrame(rows, columns=SCORES, dtype="float64")
 
     empty = F.lit("")
     words = [F.coalesce(text.words(F.col(c)), empty) for c in (output_col, reference_col)]
@@ -117,7 +118,7 @@ def _score_collected(said: pd.Series, given: pd.Series) -> pd.DataFrame:
         return unit_rows(matrix), np.array([w["n"] for w in words], dtype="float64")
 
     rows = [greedy_match(*side(s), *side(g)) for s, g in zip(said, given)]
-    return pd.DataFrame(rows, columns=["bert_precision", "bert_recall", "bert_f1"], dtype="float64")
+    return pd.DataFrame(rows, columns=SCORES, dtype="float64")
 
 
 def _score_with_joined_vectors(

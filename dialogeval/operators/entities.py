@@ -37,13 +37,12 @@ def tag_columns(
     is one row of the input.
     """
     listed = gazetteer.where(F.col("type").isin(*types)).select("entity").distinct()
-    tagged_spans = [
-        F.transform(
-            F.coalesce(candidate_spans(F.col(column)), F.array().cast("array<string>")),
-            lambda span, side=side: F.struct(F.lit(side).alias("side"), span.alias("entity")),
-        )
-        for side, column in enumerate(columns)
-    ]
+
+    def spans_of(side: int, column: str) -> Column:
+        found = F.coalesce(candidate_spans(F.col(column)), F.array().cast("array<string>"))
+        return F.transform(found, lambda span: F.struct(F.lit(side).alias("side"), span.alias("entity")))
+
+    tagged_spans = [spans_of(side, column) for side, column in enumerate(columns)]
     spans = df.select(*keys, F.explode(F.concat(*tagged_spans)).alias("span"))
     spans = spans.select(*keys, "span.side", "span.entity").join(listed, "entity")
     sets = [

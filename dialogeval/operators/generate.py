@@ -65,22 +65,25 @@ def batch_generate(
     model_ids: Sequence[str],
     build: Callable[[str, dict], Predictor],
     model_input: str = "model_input",
-    partitions_per_model: int | None = None,
     row_id: str | None = None,
+    partitions_per_model: int | None = None,
     **settings,
 ) -> DataFrame:
     """Run each model over all prompts and add `model`, `model_output`.
 
     `build(model_id, settings)` makes a predictor on the executor; it maps a list of inputs to a list of
-    outputs. `settings` carries temperature, top_p, max_tokens and the like. With `partitions_per_model`
-    the work is spread by model and row, and each task sorts by model so that it builds a model only once;
-    the batch size is `spark.sql.execution.arrow.maxRecordsPerBatch`.
+    outputs. `settings` carries temperature, top_p, max_tokens and the like. Each task sorts its rows by
+    model, so it holds one predictor at a time and builds each once. With `partitions_per_model` the work
+    is first spread by model and unique `row_id`; the batch size is
+    `spark.sql.execution.arrow.maxRecordsPerBatch`.
     """
     work = models_x_prompts(prompts, model_ids)
     if partitions_per_model:
-        spread = F.xxhash64(F.col(row_id or model_input)) % partitions_per_model
+        if row_id is None:
+            raise ValueError("spreading the work needs a unique row_id")
+        spread = F.pmod(F.xxhash64(row_id), F.lit(partitions_per_model))
         work = work.repartition(partitions_per_model * len(model_ids), "model", spread)
-        work = work.sortWithinPartitions("model")
+    work = work.sortWithinPartitions("model")
     schema = StructType([*work.schema.fields, StructField("model_output", StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from dialogeval.functions import text
 from dialogeval.functions.stem import scoring_stem
@@ -40,7 +41,7 @@ def overlap_f(predicted: list[str], expected: list[str]) -> float:
     return 2 * precision * recall / (precision + recall)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _rouge_l_stemmed(predicted: pd.Series, expected: pd.Series) -> pd.Series:
     return pd.Series(
         [
@@ -51,14 +52,14 @@ def _rouge_l_stemmed(predicted: pd.Series, expected: pd.Series) -> pd.Series:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _rouge_l_plain(predicted: pd.Series, expected: pd.Series) -> pd.Series:
     return pd.Series(
         [overlap_f(p.split(), e.split()) for p, e in zip(predicted, expected)], dtype="float64"
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _stem_words(words: pd.Series) -> pd.Series:
     return words.map(scoring_stem)
 
