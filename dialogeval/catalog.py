@@ -495,6 +495,11 @@ def stem_vocabulary(spark, sf):
     return rouge.stem_vocabulary(documents(spark, sf), ["text"])
 
 
+def stored_vectors(spark, sf) -> DataFrame:
+    """Word vectors as a table, the form in which they are given in practice."""
+    return scratch.through_table(fx.token_vectors(spark, sf), "token_vectors")
+
+
 def rounded_bert(df: DataFrame) -> DataFrame:
     return df.select("dialog_id", "model", *[F.round(s, 5).alias(s) for s in bertscore.SCORES])
 
@@ -502,14 +507,14 @@ def rounded_bert(df: DataFrame) -> DataFrame:
 @query
 def bert_score(spark, sf):
     rows = fx.short_outputs_long(spark, sf).select("dialog_id", "model", "summary", "model_output")
-    return rounded_bert(bertscore.bert_score(rows, fx.token_vectors(spark, sf)))
+    return rounded_bert(bertscore.bert_score(rows, stored_vectors(spark, sf)))
 
 
 @query
 def bert_score_joined(spark, sf):
     """The path for vector tables too large to ship."""
     rows = fx.short_outputs_long(spark, sf).select("dialog_id", "model", "summary", "model_output")
-    vectors = fx.token_vectors(spark, sf)
+    vectors = stored_vectors(spark, sf)
     return rounded_bert(bertscore.bert_score(rows, vectors, max_broadcast_bytes=0))
 
 
@@ -576,7 +581,7 @@ def entity_scores_dialog(spark, sf):
 
 def evaluated(spark, sf) -> DataFrame:
     rows = filters.drop_missing(fx.short_outputs_long(spark, sf), ["summary", "model_output"])
-    return evaluation.evaluate_outputs(rows, fx.gazetteer(spark, sf), fx.token_vectors(spark, sf))
+    return evaluation.evaluate_outputs(rows, fx.gazetteer(spark, sf), stored_vectors(spark, sf))
 
 
 @query

@@ -47,7 +47,7 @@ def dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(
         "dialog_id",
         F.array_join(F.transform("turns", tagged), "\n").alias("dialogue"),
-        generate.lead(F.try_element_at(answers, F.lit(1))["text"]).alias("summary"),
+        generate.first_sentence(F.try_element_at(answers, F.lit(1))["text"]).alias("summary"),
     )
 
 
@@ -79,7 +79,7 @@ def second_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.select(
         "row_id",
         F.array(
-            chat.message("user", F.col("text")), chat.message("assistant", generate.lead(F.col("text")))
+            chat.message("user", F.col("text")), chat.message("assistant", generate.first_sentence(F.col("text")))
         ).alias("messages"),
     )
     return sampling.train_test_split(rows, K.SHUFFLE_SEED, "row_id", K.TEST_FRACTION)
@@ -88,7 +88,7 @@ def second_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def last_user_sentence(dialogue: Column) -> Column:
     turn = F.split_part(dialogue, F.lit(USER_TAG), F.lit(-1))
     turn = F.split_part(turn, F.lit("\n" + ASSISTANT_TAG), F.lit(1))
-    return F.when(F.contains(dialogue, F.lit(USER_TAG)), generate.lead(turn))
+    return F.when(F.contains(dialogue, F.lit(USER_TAG)), generate.first_sentence(turn))
 
 
 def outputs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,14 +98,15 @@ def outputs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cleaned = dialogs(spark, sf_dir).withColumn("dialog", text.strip_speaker_tags(F.col("dialogue")))
     mark = hash_number(F.col("dialog_id"))
-    first = generate.lead(F.col("dialog"))
+
+    def sometimes_first(sentences: Column, other: Column) -> Column:
+        return F.when(mark % 25 == 0, generate.first_of(sentences)).otherwise(other)
+
     models = {
-        "org/lead-1": lambda d: first,
-        "org/tail-1": lambda d: F.when(mark % 17 != 0, F.when(mark % 25 == 0, first).otherwise(generate.tail(d))),
-        "org/longest-1": lambda d: F.when(mark % 25 == 0, first).otherwise(generate.longest(d)),
-        "org/user-1": lambda d: F.when(mark % 25 == 0, first).otherwise(
-            last_user_sentence(F.col("dialogue"))
-        ),
+        "org/lead-1": generate.first_of,
+        "org/tail-1": lambda s: F.when(mark % 17 != 0, sometimes_first(s, generate.last_of(s))),
+        "org/longest-1": lambda s: sometimes_first(s, generate.longest_of(s)),
+        "org/user-1": lambda s: sometimes_first(s, last_user_sentence(F.col("dialogue"))),
     }
     rows = generate.generate_extractive(cleaned, "dialog", models)
     return rows.select("dialog_id", "dialog", "summary", "model", "model_output")
@@ -166,7 +167,7 @@ def token_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`(token, embedding)` for the words of summaries and outputs."""
     rows = outputs_long(spark, sf_dir)
     both = [F.split(text.words(F.coalesce(F.col(c), F.lit(""))), " ") for c in ("summary", "model_output")]
-    tokens = rows.select(F.explode(F.array_distinct(F.concat(*both))).alias("token"))
+    tokens = rows.select(F.explode(F.concat(*both)).alias("token"))
     tokens = tokens.where("token <> ''").distinct()
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     size = vectors.agg(F.count(F.lit(1))).scalar()

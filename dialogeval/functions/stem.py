@@ -8,7 +8,6 @@ a consonant, `bli`, `fulli` and `logi`. Rules are data; `stem` walks through the
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 # --- Fixed values: irregular words and the suffix tables of the algorithm ----------------------
 IRREGULAR = {
@@ -124,7 +123,6 @@ def _final_e_and_double_l(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
 
 
-@lru_cache(maxsize=1 << 16)
 def stem(word: str) -> str:
     """Stem of one lower-case word. Words of one or two letters stay."""
     if word in IRREGULAR or len(word) <= 2:

@@ -30,12 +30,14 @@ def dialog_part(response: Column) -> Column:
 
 def strip_markup(text: Column) -> Column:
     """Delete newlines, asterisks and colons (lines are glued, not spaced), then strip."""
-    return py_strip(F.translate(text, K.MARKUP_CHARS, ""))
+    for char in K.MARKUP_CHARS:
+        text = F.replace(text, F.lit(char), F.lit(""))
+    return py_strip(text)
 
 
 def strip_speaker_tags(text: Column) -> Column:
     """Remove `#Person<n>#` tags with the colons and blanks behind them; newlines become blanks."""
-    return F.translate(F.regexp_replace(text, K.SPEAKER_TAG_PATTERN, ""), "\n", " ")
+    return F.replace(F.regexp_replace(text, K.SPEAKER_TAG_PATTERN, ""), F.lit("\n"), F.lit(" "))
 
 
 def build_prompt(dialog: Column) -> Column:

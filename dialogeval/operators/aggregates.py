@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogeval.functions import text
@@ -46,15 +46,14 @@ def describe_scores(df: DataFrame, by: Sequence[str], scores: Sequence[str]) ->
     long = df.select(*by, values.alias("pair")).select(*by, "pair.score", "pair.value")
     long = long.where(F.col("value").isNotNull() & ~F.isnan("value"))
     keys = [*by, "score"]
-    moments = long.groupBy(*keys).agg(
+    moments = [
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(long, keys, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return moments.join(quartiles, keys)
+    ]
+    return exact_quantiles(long, keys, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, moments)
 
 
 def exact_quantiles(
@@ -62,23 +61,27 @@ def exact_quantiles(
     by: Sequence[str],
     value: str,
     quantiles: dict[str, float],
+    also: Sequence[Column] = (),
     accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
     """Exact interpolated quantiles of groups that are too large for one task.
 
     A mergeable sketch puts a few cut points closely around each wanted quantile. They divide the values
     into intervals, interval counts are exact, and only the narrow interval that holds a wanted position
-    is sorted. The sketch decides how much is sorted, never the result.
+    is sorted. The sketch decides how much is sorted, never the result. Named aggregates in `also` are
+    computed in the same pass as the sketch.
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     near = 2.0 / accuracy
     cut_shares = sorted({min(max(q + d, 0.0), 1.0) for q in quantiles.values() for d in (-near, near)})
-    cuts = df.groupBy(*by).agg(
+    groups = df.groupBy(*by).agg(
         F.percentile_approx(value, cut_shares, accuracy).alias("_cuts"),
         F.count(value).alias("_total"),
+        *also,
     )
-    placed = counted.join(cuts, by).withColumn(
+    others = [c for c in groups.columns if c not in (*by, "_cuts", "_total")]
+    placed = counted.join(groups.drop(*others), by).withColumn(
         "_interval", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     )
 
@@ -107,18 +110,19 @@ def exact_quantiles(
         "_wanted", lambda p: (p >= F.col("_upto") - F.col("_n")) & (p < F.col("_upto"))
     )
     # At most two positions per quantile are left in a group from here on.
-    found = ranked.select(*by, "_total", value, F.explode(positions).alias("_position"))
-    table = found.groupBy(*by, "_total").agg(
+    picked = ranked.select(*by, "_total", value, F.explode(positions).alias("_position"))
+    table = picked.groupBy(*by, "_total").agg(
         F.map_from_entries(F.collect_list(F.struct("_position", value))).alias("_at")
     )
 
-    def interpolated(q: float):
+    def interpolated(q: float) -> Column:
         place = F.lit(q) * last
         low = F.element_at("_at", F.floor(place))
         high = F.element_at("_at", F.ceil(place))
         return low + (high - low) * (place - F.floor(place))
 
-    return table.select(*by, *[interpolated(q).alias(name) for name, q in quantiles.items()])
+    found = table.select(*by, *[interpolated(q).alias(name) for name, q in quantiles.items()])
+    return groups.select(*by, *others).join(found, by, "left") if others else found
 
 
 def win_counts(votes: DataFrame, label_map: DataFrame, split_ties: bool = False) -> DataFrame:

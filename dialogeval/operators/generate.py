@@ -19,29 +19,31 @@ from dialogeval.operators.joins import models_x_prompts
 Predictor = Callable[[list], Sequence[str]]
 
 
-def lead(dialog: Column) -> Column:
-    """First sentence."""
-    return F.try_element_at(text.sentences(dialog), F.lit(1))
+def first_of(sentences: Column) -> Column:
+    return F.try_element_at(sentences, F.lit(1))
 
 
-def tail(dialog: Column) -> Column:
-    """Last sentence."""
-    return F.try_element_at(text.sentences(dialog), F.lit(-1))
+def last_of(sentences: Column) -> Column:
+    return F.try_element_at(sentences, F.lit(-1))
 
 
-def longest(dialog: Column) -> Column:
+def longest_of(sentences: Column) -> Column:
     """Longest sentence; the first of equally long ones."""
+    measured = F.transform(
+        sentences,
+        lambda s, i: F.struct(F.length(s).alias("size"), (-i).alias("place"), s.alias("sentence")),
+    )
+    return F.array_max(measured)["sentence"]
 
-    def longer(best: Column, piece: Column) -> Column:
-        return F.when(F.coalesce(F.length(best), F.lit(-1)) >= F.length(piece), best).otherwise(piece)
 
-    return F.aggregate(text.sentences(dialog), F.lit(None).cast("string"), longer)
+def first_sentence(dialog: Column) -> Column:
+    return first_of(text.sentences(dialog))
 
 
 EXTRACTIVE: dict[str, Callable[[Column], Column]] = {
-    "org/lead-1": lead,
-    "org/tail-1": tail,
-    "org/longest-1": longest,
+    "org/lead-1": first_of,
+    "org/tail-1": last_of,
+    "org/longest-1": longest_of,
 }
 
 
@@ -50,14 +52,18 @@ def generate_extractive(
     dialog: str = "model_input",
     models: Mapping[str, Callable[[Column], Column]] = EXTRACTIVE,
 ) -> DataFrame:
-    """Add `model`, `model_output`: one row per prompt and model, no shuffle, no Python."""
+    """Add `model`, `model_output`: one row per prompt and model, no shuffle, no Python.
+
+    A model picks from the sentences of the dialogue, which are split once for all models.
+    """
     outputs = F.array(
         *[
-            F.struct(F.lit(name).alias("model"), make(F.col(dialog)).alias("model_output"))
-            for name, make in models.items()
+            F.struct(F.lit(name).alias("model"), pick(F.col("_sentences")).alias("model_output"))
+            for name, pick in models.items()
         ]
     )
-    return prompts.withColumn("_output", F.explode(outputs)).select(*prompts.columns, "_output.*")
+    split = prompts.withColumn("_sentences", text.sentences(F.col(dialog)))
+    return split.withColumn("_output", F.explode(outputs)).select(*prompts.columns, "_output.*")
 
 
 def batch_generate(

@@ -8,6 +8,9 @@ texts affordable.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,22 +44,25 @@ def overlap_f(predicted: list[str], expected: list[str]) -> float:
     return 2 * precision * recall / (precision + recall)
 
 
+# Frequent words are stemmed once per task; the memory of a task stays bounded.
+STEM_MEMORY = 1 << 16
+
+
 @F.pandas_udf(DoubleType())
-def _rouge_l_stemmed(predicted: pd.Series, expected: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            overlap_f([scoring_stem(w) for w in p.split()], [scoring_stem(w) for w in e.split()])
+def _rouge_l_stemmed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    stem = lru_cache(maxsize=STEM_MEMORY)(scoring_stem)
+    for predicted, expected in batches:
+        scores = [
+            overlap_f([stem(w) for w in p.split()], [stem(w) for w in e.split()])
             for p, e in zip(predicted, expected)
-        ],
-        dtype="float64",
-    )
+        ]
+        yield pd.Series(scores, dtype="float64")
 
 
 @F.pandas_udf(DoubleType())
 def _rouge_l_plain(predicted: pd.Series, expected: pd.Series) -> pd.Series:
-    return pd.Series(
-        [overlap_f(p.split(), e.split()) for p, e in zip(predicted, expected)], dtype="float64"
-    )
+    scores = [overlap_f(p.split(), e.split()) for p, e in zip(predicted, expected)]
+    return pd.Series(scores, dtype="float64")
 
 
 @F.pandas_udf(StringType())
@@ -84,6 +90,6 @@ def rouge_l(
 def stem_vocabulary(df: DataFrame, columns: list[str]) -> DataFrame:
     """`(token, stem)` of every distinct word; each word is stemmed once, however often it occurs."""
     split = [F.split(text.words(F.coalesce(F.col(c), F.lit(""))), " ") for c in columns]
-    tokens = df.select(F.explode(F.array_distinct(F.concat(*split))).alias("token"))
+    tokens = df.select(F.explode(F.concat(*split)).alias("token"))
     vocabulary = tokens.where("token <> ''").distinct()
     return vocabulary.withColumn("stem", _stem_words("token"))
