@@ -61,6 +61,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return fx.table(spark, sf, "documents")
 
 
+def stored(spark: SparkSession, sf: str, view: str) -> DataFrame:
+    """A view as a written table, the form in which word vectors, gazetteers and outputs are given."""
+    return scratch.through_table(getattr(fx, view)(spark, sf), view)
+
+
 # --- Flagship -----------------------------------------------------------------------------------
 
 
@@ -292,7 +297,7 @@ def attach_outputs(spark, sf):
 
 @query
 def label_to_model(spark, sf):
-    votes = joins.label_to_model(fx.ballots(spark, sf), fx.label_map(spark, sf))
+    votes = joins.label_to_model(fx.ballots(spark, sf), stored(spark, sf, "label_map"))
     return votes.select("dialog_id", "winner", "model")
 
 
@@ -438,8 +443,8 @@ def mean_by_model(spark, sf):
 
 @query
 def entity_totals(spark, sf):
-    rows = fx.short_outputs_long(spark, sf)
-    return aggregates.entity_totals(entities.entity_scores(rows, fx.gazetteer(spark, sf)))
+    rows = stored(spark, sf, "short_outputs_long")
+    return aggregates.entity_totals(entities.entity_scores(rows, stored(spark, sf, "gazetteer")))
 
 
 @query
@@ -495,11 +500,6 @@ def stem_vocabulary(spark, sf):
     return rouge.stem_vocabulary(documents(spark, sf), ["text"])
 
 
-def stored_vectors(spark, sf) -> DataFrame:
-    """Word vectors as a table, the form in which they are given in practice."""
-    return scratch.through_table(fx.token_vectors(spark, sf), "token_vectors")
-
-
 def rounded_bert(df: DataFrame) -> DataFrame:
     return df.select("dialog_id", "model", *[F.round(s, 5).alias(s) for s in bertscore.SCORES])
 
@@ -507,21 +507,21 @@ def rounded_bert(df: DataFrame) -> DataFrame:
 @query
 def bert_score(spark, sf):
     rows = fx.short_outputs_long(spark, sf).select("dialog_id", "model", "summary", "model_output")
-    return rounded_bert(bertscore.bert_score(rows, stored_vectors(spark, sf)))
+    return rounded_bert(bertscore.bert_score(rows, stored(spark, sf, "token_vectors")))
 
 
 @query
 def bert_score_joined(spark, sf):
     """The path for vector tables too large to ship."""
     rows = fx.short_outputs_long(spark, sf).select("dialog_id", "model", "summary", "model_output")
-    vectors = stored_vectors(spark, sf)
+    vectors = stored(spark, sf, "token_vectors")
     return rounded_bert(bertscore.bert_score(rows, vectors, max_broadcast_bytes=0))
 
 
 @query
 def extract_entities(spark, sf):
     texts = fx.dialogs(spark, sf).select(F.explode(F.array("dialogue", "summary")).alias("text"))
-    found = entities.extract_entities(texts, fx.gazetteer(spark, sf))
+    found = entities.extract_entities(texts, stored(spark, sf, "gazetteer"))
     return found.select("text", flat(F.col("entities")).alias("entities"))
 
 
@@ -568,20 +568,31 @@ def flat_entities(df: DataFrame, input_col: str) -> DataFrame:
 
 @query
 def entity_scores(spark, sf):
-    rows, listed = fx.short_outputs_long(spark, sf), fx.gazetteer(spark, sf)
+    rows, listed = stored(spark, sf, "short_outputs_long"), stored(spark, sf, "gazetteer")
     return flat_entities(entities.entity_scores(rows, listed, "summary"), "summary")
 
 
+@query
+def entity_scores_large_gazetteer(spark, sf):
+    """The path for gazetteers too large to broadcast."""
+    rows, listed = stored(spark, sf, "short_outputs_long"), stored(spark, sf, "gazetteer")
+    columns = ["summary", "model_output"]
+    tagged = entities.with_entities(rows, ["dialog_id", "model"], columns, listed, max_broadcast_bytes=0)
+    return flat_entities(entities.entity_differences(tagged, *columns), "summary")
+
+
 @query
 def entity_scores_dialog(spark, sf):
     """Entities of the outputs against those of the whole dialogue."""
-    rows, listed = fx.short_outputs_long(spark, sf), fx.gazetteer(spark, sf)
+    rows, listed = stored(spark, sf, "short_outputs_long"), stored(spark, sf, "gazetteer")
     return flat_entities(entities.entity_scores(rows, listed, "dialog"), "dialog")
 
 
 def evaluated(spark, sf) -> DataFrame:
-    rows = filters.drop_missing(fx.short_outputs_long(spark, sf), ["summary", "model_output"])
-    return evaluation.evaluate_outputs(rows, fx.gazetteer(spark, sf), stored_vectors(spark, sf))
+    rows = filters.drop_missing(stored(spark, sf, "short_outputs_long"), ["summary", "model_output"])
+    return evaluation.evaluate_outputs(
+        rows, stored(spark, sf, "gazetteer"), stored(spark, sf, "token_vectors")
+    )
 
 
 @query

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from dialogeval.functions import text
+from dialogeval.operators.joins import fits, salted_join
 
 # A vector table up to this size is shipped to the workers once; a larger one is joined.
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -67,10 +68,8 @@ def bert_score(
     vectors go to the workers and scoring needs no shuffle; beyond it words are joined to their vectors.
     `keys` identify a row.
     """
-    size = vectors.agg(
-        F.sum(F.size("embedding").cast("bigint") * 8 + F.octet_length("token") + 64)
-    ).first()[0]
-    if (size or 0) <= max_broadcast_bytes:
+    row_bytes = F.coalesce(F.size("embedding"), F.lit(0)) * 8 + F.octet_length("token") + 48
+    if fits(vectors, row_bytes, max_broadcast_bytes):
         return _score_with_shipped_vectors(df, vectors, output_col, reference_col)
     return _score_with_joined_vectors(df, vectors, output_col, reference_col, list(keys))
 
@@ -87,7 +86,7 @@ def _score_with_shipped_vectors(
     df: DataFrame, vectors: DataFrame, output_col: str, reference_col: str
 ) -> DataFrame:
     table = vectors.where(F.col("embedding").isNotNull()).select("token", "embedding").toPandas()
-    matrix = np.array(table["embedding"].tolist(), dtype="float64").reshape(len(table), -1)
+    matrix = np.array(table["embedding"].tolist(), dtype="float64") if len(table) else np.empty((0, 1))
     place = {token: i for i, token in enumerate(table["token"])}
     shipped = df.sparkSession.sparkContext.broadcast((place, unit_rows(matrix)))
 
@@ -124,8 +123,8 @@ def _score_collected(said: pd.Series, given: pd.Series) -> pd.DataFrame:
 def _score_with_joined_vectors(
     df: DataFrame, vectors: DataFrame, output_col: str, reference_col: str, keys: list[str]
 ) -> DataFrame:
-    """Words are counted per row before anything is shuffled; a frequent word is a hot join key, whose
-    partition adaptive execution splits. Only the words of one row come together again."""
+    """Words are counted per row before anything is shuffled; a frequent word is a hot join key and is
+    salted. Only the words of one row come together again."""
 
     def side(column: str, said: bool) -> Column:
         split = F.split(F.coalesce(text.words(F.col(column)), F.lit("")), " ")
@@ -134,9 +133,8 @@ def _score_with_joined_vectors(
     both = F.concat(side(output_col, True), side(reference_col, False))
     words = df.select(*keys, F.explode(both).alias("word")).select(*keys, "word.*")
     counted = words.where("token <> ''").groupBy(*keys, "said", "token").agg(F.count(F.lit(1)).alias("n"))
-    known = counted.join(
-        vectors.where(F.col("embedding").isNotNull()).select("token", "embedding"), "token"
-    )
+    table = vectors.where(F.col("embedding").isNotNull()).select("token", "embedding")
+    known = salted_join(counted, table, "token", [*keys, "said"])
     word = F.struct("n", "embedding")
     rows = known.groupBy(*keys).agg(
         F.collect_list(F.when(F.col("said"), word)).alias("_said"),
@@ -144,4 +142,4 @@ def _score_with_joined_vectors(
     )
     scored = rows.select(*keys, _score_collected("_said", "_given").alias("_found"))
     joined = df.join(scored, keys, "left")
-    return _finish(joined, F.col("_found"), output_col, reference_col).drop("_found")
+    return _finish(joined, F.col("_found"), output_col, reference_col).select(*df.columns, *SCORES)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogeval import constants as K
+from dialogeval.operators.joins import MAX_BROADCAST_BYTES, lookup_join
 from dialogeval.operators.reshape import set_difference, set_or_empty, set_size
 
 SPAN_PATTERN = "[A-Z][a-z]+(?: [A-Z][a-z]+)*"
@@ -28,13 +29,13 @@ def tag_columns(
     columns: Sequence[str],
     gazetteer: DataFrame,
     types: Sequence[str] = K.ENTITY_TYPES,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """`keys` + sorted `entities_in_<column>` per text column, for rows in which any entity is found.
 
     One pass for all columns. Only short spans are shuffled, never texts; spans are distinct within their
-    text before the join. The gazetteer is broadcast if it is small, otherwise it is shuffled on the
-    entity and adaptive execution splits the partition of a span that many texts share. The final group
-    is one row of the input.
+    text before the join. The gazetteer is broadcast if it was measured as small; otherwise both sides are
+    shuffled and a span that many texts share is salted. The final group is one row of the input.
     """
     listed = gazetteer.where(F.col("type").isin(*types)).select("entity").distinct()
 
@@ -44,14 +45,15 @@ def tag_columns(
 
     tagged_spans = [spans_of(side, column) for side, column in enumerate(columns)]
     spans = df.select(*keys, F.explode(F.concat(*tagged_spans)).alias("span"))
-    spans = spans.select(*keys, "span.side", "span.entity").join(listed, "entity")
+    spans = spans.select(*keys, "span.side", "span.entity")
+    found = lookup_join(spans, listed, "entity", [*keys, "side"], max_broadcast_bytes=max_broadcast_bytes)
     sets = [
         F.array_sort(F.collect_set(F.when(F.col("side") == side, F.col("entity")))).alias(
             f"entities_in_{column}"
         )
         for side, column in enumerate(columns)
     ]
-    return spans.groupBy(*keys).agg(*sets)
+    return found.groupBy(*keys).agg(*sets)
 
 
 def extract_entities(
@@ -77,13 +79,13 @@ def with_entities(
     columns: Sequence[str],
     gazetteer: DataFrame,
     types: Sequence[str] = K.ENTITY_TYPES,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add `entities_in_<column>` for each text column. `keys` identify a row."""
-    found = tag_columns(df, keys, columns, gazetteer, types)
+    found = tag_columns(df, keys, columns, gazetteer, types, max_broadcast_bytes)
+    sets = [f"entities_in_{column}" for column in columns]
     joined = df.join(found, list(keys), "left")
-    return joined.withColumns(
-        {f"entities_in_{c}": set_or_empty(F.col(f"entities_in_{c}")) for c in columns}
-    )
+    return joined.select(*df.columns, *[set_or_empty(F.col(s)).alias(s) for s in sets])
 
 
 def entity_differences(df: DataFrame, input_col: str, output_col: str) -> DataFrame:

@@ -1,17 +1,81 @@
-"""Joins that replace alignment by row position.
+"""Joins that replace alignment by row position, and lookups that survive hot keys.
 
-No join here carries a broadcast hint. Spark broadcasts a side when its measured size is below
-`spark.sql.autoBroadcastJoinThreshold` (statically or, with adaptive execution, after the side's shuffle);
-otherwise it shuffles, and adaptive execution splits the partitions of hot keys.
+Joins on unique row ids need no care: Spark shuffles them evenly, or broadcasts a side it measured as small.
+A lookup joins many rows to a table with one row per key, and one key may own a third of the rows. The lookup
+table is broadcast only after its size was measured; beyond the limit frequent keys are salted. (Adaptive
+execution alone does not help here: it leaves a skewed join as it is when a side was aggregated first.)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A lookup table up to this size is broadcast.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Most frequent keys looked at, and counters of the sketch that finds them.
+TOP_KEYS, TRACKED_KEYS = 1_000, 16_384
+
+_HASH, _SALT, _SALTS = "_key_hash", "_salt", "_salts"
+
+
+def fits(df: DataFrame, row_bytes: Column, max_bytes: int) -> bool:
+    """Measure a table: is the sum of `row_bytes` within the limit? Reads no more rows than could fit."""
+    if max_bytes <= 0:
+        return False
+    some = df.limit(max_bytes // 16 + 1)
+    size = some.agg(F.sum(row_bytes.cast("bigint") + 16)).first()[0]
+    return (size or 0) <= max_bytes
+
+
+def lookup_join(
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    row_id: Sequence[str],
+    row_bytes: Column | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Inner join of many `rows` to a `table` with one row per `key`; `row_id` names a unique row."""
+    width = F.octet_length(key) if row_bytes is None else row_bytes
+    if fits(table, width, max_broadcast_bytes):
+        return rows.join(F.broadcast(table), key)
+    return salted_join(rows, table, key, row_id)
+
+
+def salted_join(rows: DataFrame, table: DataFrame, key: str, row_id: Sequence[str]) -> DataFrame:
+    """Inner shuffle join in which frequent keys are divided.
+
+    A sketch over `rows` finds the frequent keys. Rows of such a key are spread over as many salts as the
+    key has average partitions of rows, and its one row in `table` is copied once per salt. The list of
+    frequent keys has at most TOP_KEYS entries, so it can be broadcast. The sketch only decides what is
+    spread, never what matches.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = rows.withColumn(_HASH, F.xxhash64(key))
+    top = hashed.agg(
+        F.expr(f"approx_top_k({_HASH}, {TOP_KEYS}, {TRACKED_KEYS})").alias("top"),
+        F.count(F.lit(1)).alias("total"),
+    ).select(F.explode("top").alias("top"), "total")
+    frequent = top.select(
+        F.col("top.item").alias(_HASH),
+        F.ceil(F.col("top.count") * partitions / F.col("total")).cast("int").alias(_SALTS),
+    ).where(F.col(_SALTS) > 1)
+
+    salts = F.coalesce(F.col(_SALTS), F.lit(1))
+    spread = hashed.join(F.broadcast(frequent), _HASH, "left").withColumn(
+        _SALT, F.pmod(F.xxhash64(*row_id), salts).cast("int")
+    )
+    copied = (
+        table.withColumn(_HASH, F.xxhash64(key))
+        .join(F.broadcast(frequent), _HASH, "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), salts - 1)))
+    )
+    joined = spread.drop(_HASH, _SALTS).join(copied.drop(_HASH, _SALTS), [key, _SALT])
+    return joined.drop(_SALT)
+
 
 def models_x_prompts(prompts: DataFrame, models: Sequence[str]) -> DataFrame:
     """Every prompt for every model. The models are a literal list, so this is a map-side explode."""
@@ -25,10 +89,15 @@ def attach_outputs(
     return prompts.join(outputs, list(keys), "left")
 
 
-def label_to_model(votes: DataFrame, label_map: DataFrame, label: str = "winner") -> DataFrame:
-    """Resolve the label of each vote to its model; votes that name no label drop out."""
+def label_to_model(
+    votes: DataFrame, label_map: DataFrame, label: str = "winner", row_id: str = "dialog_id"
+) -> DataFrame:
+    """Resolve the label of each vote to its model; votes that name no label drop out.
+
+    There are few labels, so each of them is a hot key.
+    """
     names = label_map.select(F.col("label").alias(label), "model")
-    return votes.join(names, label)
+    return lookup_join(votes, names, label, [row_id], F.octet_length(label) + F.octet_length("model"))
 
 
 def holdout_antijoin(df: DataFrame, used: DataFrame, key: str) -> DataFrame:

@@ -794,6 +794,7 @@ def _oracles() -> dict[str, str]:
         "tagged",
     )
     q["entity_scores"] = statement(f"SELECT dialog_id, model, {_SETS} FROM sets_summary", "sets_summary")
+    q["entity_scores_large_gazetteer"] = q["entity_scores"]
     q["entity_scores_dialog"] = statement(f"SELECT dialog_id, model, {_SETS} FROM sets_dialog", "sets_dialog")
     q["evaluate_outputs"] = statement(
         """SELECT dialog_id, model, num_hallucinated_entities, num_missed_entities,

@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LABEL_MAP_SCHEMA = "position int, model string, label string"
-CSV_OPTIONS = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+# Quotes are doubled inside cells; blanks at the edges of a cell belong to it.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def scan_dataset(
@@ -60,7 +68,7 @@ def scan_csv(
     Cells equal to one of `na_values` become missing, as does an empty cell. `multi_line` makes a file
     one task; large exports should come as many files (which `write_csv` produces) or as Parquet.
     """
-    df = spark.read.schema(schema).options(**{**CSV_OPTIONS, "multiLine": multi_line}).csv(path)
+    df = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
     if not na_values:
         return df
     strings = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
@@ -74,7 +82,7 @@ def scan_csv(
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write header CSV without an index; one file per task."""
-    df.write.mode(mode).options(header=True, quote='"', escape='"').csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_label_map(label_map: DataFrame, path: str, mode: str = "errorifexists") -> None:
