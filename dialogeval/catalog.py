@@ -457,7 +457,8 @@ def mean_per_column(spark, sf):
 
 @query
 def describe_scores(spark, sf):
-    stats = aggregates.describe_scores(scored_outputs(spark, sf), ["model"], ["rouge_l"])
+    scores = scratch.through_table(scored_outputs(spark, sf).select("model", "rouge_l"), "scores")
+    stats = aggregates.describe_scores(scores, ["model"], ["rouge_l"])
     numbers = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     return stats.select("model", "score", "count", *[F.round(n, 6).alias(n) for n in numbers])
 
@@ -500,21 +501,25 @@ def stem_vocabulary(spark, sf):
     return rouge.stem_vocabulary(documents(spark, sf), ["text"])
 
 
+def outputs_and_vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    rows = stored(spark, sf, "short_outputs_long").drop("dialog")
+    return rows, scratch.through_table(fx.token_vectors(spark, sf, rows), "token_vectors")
+
+
 def rounded_bert(df: DataFrame) -> DataFrame:
     return df.select("dialog_id", "model", *[F.round(s, 5).alias(s) for s in bertscore.SCORES])
 
 
 @query
 def bert_score(spark, sf):
-    rows = fx.short_outputs_long(spark, sf).select("dialog_id", "model", "summary", "model_output")
-    return rounded_bert(bertscore.bert_score(rows, stored(spark, sf, "token_vectors")))
+    rows, vectors = outputs_and_vectors(spark, sf)
+    return rounded_bert(bertscore.bert_score(rows, vectors))
 
 
 @query
 def bert_score_joined(spark, sf):
     """The path for vector tables too large to ship."""
-    rows = fx.short_outputs_long(spark, sf).select("dialog_id", "model", "summary", "model_output")
-    vectors = stored(spark, sf, "token_vectors")
+    rows, vectors = outputs_and_vectors(spark, sf)
     return rounded_bert(bertscore.bert_score(rows, vectors, max_broadcast_bytes=0))
 
 
@@ -589,10 +594,9 @@ def entity_scores_dialog(spark, sf):
 
 
 def evaluated(spark, sf) -> DataFrame:
-    rows = filters.drop_missing(stored(spark, sf, "short_outputs_long"), ["summary", "model_output"])
-    return evaluation.evaluate_outputs(
-        rows, stored(spark, sf, "gazetteer"), stored(spark, sf, "token_vectors")
-    )
+    outputs, vectors = outputs_and_vectors(spark, sf)
+    rows = filters.drop_missing(outputs, ["summary", "model_output"])
+    return evaluation.evaluate_outputs(rows, stored(spark, sf, "gazetteer"), vectors)
 
 
 @query

@@ -163,9 +163,9 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.distinct().withColumn("type", F.get(types, number))
 
 
-def token_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def token_vectors(spark: SparkSession, sf_dir: str, outputs: DataFrame | None = None) -> DataFrame:
     """`(token, embedding)` for the words of summaries and outputs."""
-    rows = outputs_long(spark, sf_dir)
+    rows = outputs_long(spark, sf_dir) if outputs is None else outputs
     both = [F.split(text.words(F.coalesce(F.col(c), F.lit(""))), " ") for c in ("summary", "model_output")]
     tokens = rows.select(F.explode(F.concat(*both)).alias("token"))
     tokens = tokens.where("token <> ''").distinct()

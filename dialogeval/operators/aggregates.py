@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogeval.functions import text
+from dialogeval.operators.joins import MAX_BROADCAST_BYTES, fits, salted_join
 from dialogeval.operators.projections import missing_to_null
+from dialogeval.sources import scratch
 
 # Rank error of the sketch that places the cut points in `exact_quantiles`, as 1 / accuracy.
 SKETCH_ACCURACY = 20_000
+# Upper estimate for the row of a group in `exact_quantiles`: keys, cut points, positions.
+GROUP_BYTES = 2_000
 
 
 def mean_by_model(df: DataFrame, scores: Sequence[str], model: str = "model") -> DataFrame:
@@ -69,7 +73,8 @@ def exact_quantiles(
     A mergeable sketch puts a few cut points closely around each wanted quantile. They divide the values
     into intervals, interval counts are exact, and only the narrow interval that holds a wanted position
     is sorted. The sketch decides how much is sorted, never the result. Named aggregates in `also` are
-    computed in the same pass as the sketch.
+    computed in the same pass as the sketch. That pass runs at once: its result, a row per group, is
+    stored, so the later steps read it and know its size.
     """
     by = list(by)
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
@@ -81,7 +86,9 @@ def exact_quantiles(
         *also,
     )
     others = [c for c in groups.columns if c not in (*by, "_cuts", "_total")]
-    placed = counted.join(groups.drop(*others), by).withColumn(
+    groups = scratch.through_table(groups, "quantile_groups")
+    few = fits(groups, F.lit(GROUP_BYTES), MAX_BROADCAST_BYTES)
+    placed = _with_group(counted, groups.drop(*others), by, value, few).withColumn(
         "_interval", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
     )
 
@@ -102,7 +109,7 @@ def exact_quantiles(
     ).where(F.size("_wanted") > 0)
 
     narrow = Window.partitionBy(*by, "_interval").orderBy(value)
-    ranked = placed.drop("_total").join(hit, [*by, "_interval"])
+    ranked = _with_group(placed.drop("_total"), hit, [*by, "_interval"], value, few)
     ranked = ranked.withColumn(
         "_upto", F.col("_start") + F.sum("_n").over(narrow.rowsBetween(Window.unboundedPreceding, 0))
     )
@@ -125,6 +132,17 @@ def exact_quantiles(
     return groups.select(*by, *others).join(found, by, "left") if others else found
 
 
+def _with_group(
+    rows: DataFrame, groups: DataFrame, keys: Sequence[str], row_id: str, few: bool
+) -> DataFrame:
+    """Put the row of its group next to each row; a group may own most rows."""
+    if few:
+        return rows.join(F.broadcast(groups), list(keys))
+    key = F.struct(*keys)
+    keyed = groups.withColumn("_group", key).drop(*keys)
+    return salted_join(rows.withColumn("_group", key), keyed, "_group", [row_id]).drop("_group")
+
+
 def win_counts(votes: DataFrame, label_map: DataFrame, split_ties: bool = False) -> DataFrame:
     """Votes for each label of the map, zeros kept. A tie such as `1,3` names no label by default."""
     winners = votes.where(F.col("winner").isNotNull()).select("winner")

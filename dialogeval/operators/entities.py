@@ -67,7 +67,9 @@ def extract_entities(
     Copies of a text collapse in the map tasks. The spans travel under the SHA-256 of their text.
     """
     distinct = texts.select(column).where(F.col(column).isNotNull()).distinct()
-    keyed = distinct.withColumn("_text_key", F.sha2(F.col(column), 256))
+    # Never NULL, so that the join below adds no filter and the distinct texts are computed once.
+    text_key = F.coalesce(F.sha2(F.col(column), 256), F.lit(""))
+    keyed = distinct.withColumn("_text_key", text_key)
     found = tag_columns(keyed, ["_text_key"], [column], gazetteer, types)
     entities = set_or_empty(F.col(f"entities_in_{column}")).alias("entities")
     return keyed.join(found, "_text_key", "left").select(column, entities)

@@ -22,11 +22,10 @@ _HASH, _SALT, _SALTS = "_key_hash", "_salt", "_salts"
 
 
 def fits(df: DataFrame, row_bytes: Column, max_bytes: int) -> bool:
-    """Measure a table: is the sum of `row_bytes` within the limit? Reads no more rows than could fit."""
+    """Measure a table: is the sum of `row_bytes` within the limit? One aggregate over those columns."""
     if max_bytes <= 0:
         return False
-    some = df.limit(max_bytes // 16 + 1)
-    size = some.agg(F.sum(row_bytes.cast("bigint") + 16)).first()[0]
+    size = df.agg(F.sum(row_bytes.cast("bigint") + 16)).first()[0]
     return (size or 0) <= max_bytes
 
 

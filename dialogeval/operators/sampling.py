@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from dialogeval.functions.hashing import below_fraction, hash_key
 
-# Up to this many rows a slice is a top-k (each task keeps its k best); beyond it, ranks are distributed.
-TOP_K_ROWS = 100_000
+# Up to this many rows a slice is a top-k of ids. Every task sends its k best to one task, so k must stay
+# small whatever the table; beyond it, ranks are distributed.
+TOP_K_ROWS = 500
 # A hash prefix of 4 hex digits: the count table has at most 65,536 rows whatever the data.
 BUCKET_DIGITS = 4
 
@@ -54,18 +55,20 @@ def range_slice(
 ) -> DataFrame:
     """Rows `[lo, hi)` of the shuffled table; fewer if the table is shorter.
 
-    Small slices are a top-k. Large ones count rows per hash bucket, take whole buckets as they are and
-    rank only inside the two buckets that the bounds cut, so no task ever sees the slice.
+    Small slices are a top-k over the ids alone, whose rows are then looked up. Large ones count rows per
+    hash bucket, take whole buckets as they are and rank only inside the two buckets that the bounds cut,
+    so no task ever sees the slice.
     """
     if hi <= top_k_rows:
-        return seeded_shuffle(df, seed, row_id).offset(lo).limit(hi - lo)
+        ids = seeded_shuffle(df.select(row_id), seed, row_id).offset(lo).limit(hi - lo)
+        return ids if df.columns == [row_id] else df.join(F.broadcast(ids), row_id, "left_semi")
     whole, edge = _around_ranks(df, seed, row_id, lambda total: F.lit(lo), lambda total: F.lit(hi))
     return whole.unionByName(edge).where("_inside").drop("_inside")
 
 
 def sample_n(df: DataFrame, seed: int, row_id: str, n: int, strict: bool = False) -> DataFrame:
     """Exactly `n` random rows without replacement; fewer if the table is shorter, unless `strict`."""
-    if strict and df.limit(n).count() < n:
+    if strict and df.count() < n:
         raise ValueError(f"the table has fewer than {n} rows")
     return range_slice(df, seed, row_id, 0, n)
 

@@ -39,10 +39,21 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["model", "num_rows", "mean_rouge_l"]
 
 
-def test_scan_reads_only_the_needed_columns(spark, sf_dir):
+def test_small_slice_sorts_ids_only(spark, sf_dir):
     plan = QUERIES["range_slice"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
-    assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+    assert "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan
+    assert "ReadSchema: struct<doc_id:bigint>" in plan and "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
+
+
+def test_distinct_texts_are_shuffled_once(spark):
+    from dialogeval.operators import entities
+    from dialogeval.sources import scratch
+
+    texts = scratch.through_table(spark.createDataFrame([("Ann",), ("Ann",)], "text string"), "texts")
+    listed = spark.createDataFrame([("Ann", "PER")], "entity string, type string")
+    found = entities.extract_entities(texts, listed)
+    found.collect()
+    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_training_set_is_one_map_stage_behind_its_input(spark):
