@@ -29,7 +29,6 @@ HOLDOUT_ROWS = 10_000
 HUMAN_SAMPLE_ROWS = 100
 BALLOTS_READ = 50
 READING_SAMPLE_ROWS = 20
-PROMPTS_TRIED = 5
 
 # --- Fixed values: the code points Python's str.strip() removes -------------------------------
 PY_WHITESPACE = (

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dialogeval.sources import scratch
+
 # A lookup table up to this size is broadcast.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Most frequent keys looked at, and counters of the sketch that finds them.
@@ -49,8 +51,9 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, row_id: Sequence[st
 
     A sketch over `rows` finds the frequent keys. Rows of such a key are spread over as many salts as the
     key has average partitions of rows, and its one row in `table` is copied once per salt. The list of
-    frequent keys has at most TOP_KEYS entries, so it can be broadcast. The sketch only decides what is
-    spread, never what matches.
+    frequent keys has at most TOP_KEYS entries, so it can be broadcast; it is stored first, because a sketch
+    merged in another order may differ and both sides must use the same salts. The sketch only decides what
+    is spread, never what matches.
     """
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hashed = rows.withColumn(_HASH, F.xxhash64(key))
@@ -62,6 +65,7 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, row_id: Sequence[st
         F.col("top.item").alias(_HASH),
         F.ceil(F.col("top.count") * partitions / F.col("total")).cast("int").alias(_SALTS),
     ).where(F.col(_SALTS) > 1)
+    frequent = scratch.through_table(frequent, "frequent_keys")
 
     salts = F.coalesce(F.col(_SALTS), F.lit(1))
     spread = hashed.join(F.broadcast(frequent), _HASH, "left").withColumn(

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dialogeval import constants as K
 from dialogeval.functions.hashing import below_fraction, hash_key
 
 # Up to this many rows a slice is a top-k of ids. Every task sends its k best to one task, so k must stay
@@ -73,7 +74,9 @@ def sample_n(df: DataFrame, seed: int, row_id: str, n: int, strict: bool = False
     return range_slice(df, seed, row_id, 0, n)
 
 
-def eval_subset(parts: Sequence[DataFrame], seed: int, row_id: str, rows: int) -> DataFrame:
+def eval_subset(
+    parts: Sequence[DataFrame], seed: int, row_id: str, rows: int = K.EVAL_SUBSET_ROWS
+) -> DataFrame:
     """Concatenate the test parts, shuffle, take the first `rows`."""
     union = parts[0]
     for part in parts[1:]:
@@ -81,7 +84,13 @@ def eval_subset(parts: Sequence[DataFrame], seed: int, row_id: str, rows: int) -
     return range_slice(union, seed, row_id, 0, rows)
 
 
-def holdout_slice(df: DataFrame, seed: int, row_id: str, used_rows: int, rows: int) -> DataFrame:
+def holdout_slice(
+    df: DataFrame,
+    seed: int,
+    row_id: str,
+    used_rows: int = K.EVAL_SUBSET_ROWS,
+    rows: int = K.HOLDOUT_ROWS,
+) -> DataFrame:
     """The `rows` shuffled rows behind the first `used_rows`, which training looked at already."""
     return range_slice(df, seed, row_id, used_rows, used_rows + rows)
 

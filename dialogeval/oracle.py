@@ -407,7 +407,7 @@ _IRREGULAR = (
 
 def stems(vocabulary: str) -> str:
     """`token, stem` for a table of distinct tokens; only tokens longer than three letters change."""
-    table = f"(SELECT token, token AS w, {_SHAPE.replace('(w)', '(token)').replace('(w,', '(token,')} AS shape FROM {vocabulary})"
+    table = f"(SELECT token, w, {_SHAPE} AS shape FROM (SELECT token, token AS w FROM {vocabulary}))"
     table = step(
         f"WHEN w LIKE '%ies' AND length(w) = 4 THEN {cut(1)} WHEN w LIKE '%ies' THEN {cut(2)} "
         f"WHEN w LIKE '%sses' THEN {cut(2)} WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN {cut(1)}",
@@ -534,10 +534,6 @@ def bar(x: str) -> str:
     return f"array_to_string({x}, '|')"
 
 
-def rounded(x: str, digits: int) -> str:
-    return f"round({x}, {digits})"
-
-
 _SPLIT = f"CASE WHEN {is_test('doc_id')} THEN 'test' ELSE 'train' END AS split"
 _SETS = f"""{bar('given')} AS entities_in_input, {bar('said')} AS entities_in_output,
     {bar(_ONLY_SAID)} AS hallucinated_entities, {bar(_ONLY_GIVEN)} AS missed_entities,

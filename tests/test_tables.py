@@ -304,5 +304,4 @@ def test_columns_and_renames(spark):
     df = spark.createDataFrame([(1, 2)], "`a.x` int, b int")
     assert projections.columns_matching(df, "a.") == ["a.x"]
     assert projections.rename_by_map(df, {"b": "c"}).columns == ["a.x", "c"]
-    assert filters.numbered(df, ["b"]).first().position == 1
     assert df.select(text.py_strip(F.lit(" x "))).first()[0] == "x"
