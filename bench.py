@@ -64,6 +64,10 @@ def main() -> None:
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.adaptive.enabled", "true")
+        # Text costs far more time per byte than the default partition size of 1 MB assumes.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
+        # Do not record a Python stack for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
