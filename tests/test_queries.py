@@ -10,7 +10,8 @@ import pytest
 import __spark_entry__
 from tools.check_oracle import rows_of
 
-QUERIES, ORACLES = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+from dialogeval.catalog import QUERIES
+from dialogeval.oracle import ORACLES
 
 
 @pytest.fixture(scope="module")
