@@ -109,6 +109,31 @@ class Words(NamedTuple):
     end: np.ndarray
 
 
+def _run_hashes(folded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of every run `start:end`; runs are sorted and do not overlap."""
+    hashes = np.empty(len(start), np.uint64)
+    done = 0
+    while done < len(start):
+        low = int(start[done])
+        upto = max(int(np.searchsorted(end, low + BLOCK_BYTES, side="right")), done + 1)
+        high = int(end[upto - 1])
+        up, down, letters = _powers(high - low + 1)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(letters[folded[low:high]] * up[: high - low], out=sums[1:])
+        begin, stop = start[done:upto] - low, end[done:upto] - low
+        hashes[done:upto] = (sums[stop] - sums[begin]) * down[begin] + (stop - begin).astype(np.uint64)
+        done = upto
+    return mix(hashes)
+
+
+def prefixes(data: np.ndarray, found: Words, table: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the first `size` code points of every word, or of the whole word."""
+    begins = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    at = np.searchsorted(begins, found.start) + size
+    end = np.minimum(begins[np.minimum(at, len(begins) - 1)], found.end)
+    return _run_hashes(table[data], found.start, end)
+
+
 def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:
     """The words of a slice."""
     size = len(data)
@@ -122,20 +147,8 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:
     after = np.zeros(size, bool)
     after[:-1] = inside[1:]
     end = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    hashes = np.empty(len(start), np.uint64)
-    done = 0
-    while done < len(start):
-        low = int(start[done])
-        upto = max(int(np.searchsorted(end, low + BLOCK_BYTES, side="right")), done + 1)
-        high = int(end[upto - 1])
-        up, down, letters = _powers(high - low + 1)
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(letters[folded[low:high]] * up[: high - low], out=sums[1:])
-        begin, stop = start[done:upto] - low, end[done:upto] - low
-        hashes[done:upto] = (sums[stop] - sums[begin]) * down[begin] + (stop - begin).astype(np.uint64)
-        done = upto
     first = np.searchsorted(start, offsets)
-    return Words(mix(hashes), first, start, end)
+    return Words(_run_hashes(folded, start, end), first, start, end)
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -176,3 +189,32 @@ def word_table() -> np.ndarray:
     drop[list(NOT_WORD)] = True
     table[drop[lowered]] = 0
     return table
+
+
+class Lines(NamedTuple):
+    """`new[i]`: word i begins a line; `sentence[i]`: or a sentence; `low`, `high`: bytes of the line of word i."""
+
+    new: np.ndarray
+    sentence: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+
+def lines(data: np.ndarray, offsets: np.ndarray, found: Words) -> Lines:
+    """Lines end at line feeds and rows, sentences also behind a word that ends in a full stop, `!` or `?`."""
+    breaks = np.unique(np.concatenate([offsets, np.flatnonzero(data == 10) + 1]))
+    at = np.searchsorted(breaks, found.start, side="right") - 1
+    new = np.ones(len(at), bool)
+    new[1:] = at[1:] != at[:-1]
+    sentence = new.copy()
+    if len(at):
+        sentence[1:] |= np.isin(data[found.end[:-1] - 1], np.frombuffer(b".!?", np.uint8))
+    return Lines(new, sentence, breaks[at], breaks[np.minimum(at + 1, len(breaks) - 1)])
+
+
+def run_hashes(hashes: np.ndarray, begin: np.ndarray, stop: np.ndarray, tag: int) -> np.ndarray:
+    """64-bit hash of each run of words `begin:stop`."""
+    up, down, _ = _powers(len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(mix(hashes + np.uint64(tag)) * up[: len(hashes)], out=sums[1:])
+    return mix((sums[stop] - sums[begin]) * down[begin] + (stop - begin).astype(np.uint64) + np.uint64(tag))

@@ -17,11 +17,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogeval.llm import batches
+from dialogeval.sources import scratch
 
 WINDOW = 10
 GRAM = 5
@@ -233,3 +235,33 @@ def _keys(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column(0).slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(keys, pa.binary())],
                 names=["doc_id", "n_words", "text_key"],
             )
+
+
+def keep_clean(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    index_words: int = INDEX_WORDS,
+) -> DataFrame:
+    """`docs` without the rows whose text holds a window of an item; columns unchanged, NULL texts stay."""
+    spark = docs.sparkSession
+
+    def clean(shared) -> Column:
+        @F.pandas_udf("boolean")
+        def free(texts: pd.Series) -> pd.Series:
+            index, table = Index(shared.value, window, gram), batches.word_table()
+            column, out = pa.array(texts, pa.string(), from_pandas=True), []
+            for _, _, data, offsets in batches.slices(column):
+                words = batches.words(data, offsets, table)
+                ends = zip(words.first[:-1], words.first[1:], strict=True)
+                out += [not index.scan(words.hashes[a:b])[1] for a, b in ends]
+            return pd.Series(out, dtype=bool)
+
+        return free(F.col("text").cast("string"))
+
+    for number, group in enumerate(_groups(benchmark, index_words)):
+        if number:
+            docs = scratch.through_table(docs, "clean")
+        docs = docs.where(clean(spark.sparkContext.broadcast(group)))
+    return docs

@@ -1,4 +1,4 @@
-"""The named queries of this subpackage over the tables of a folder."""
+"""The named queries of this subpackage over the tables of a folder, and the same results in SQL where it can say them."""
 
 from __future__ import annotations
 
@@ -6,24 +6,80 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialogeval.llm import decontaminate, jaccard
+import corpus_pipeline
+from dialogeval.llm import (
+    decontaminate,
+    fingerprints,
+    htmlcut,
+    jaccard,
+    licenses,
+    mixing,
+    secrets,
+    substrings,
+    toxicity,
+    warc,
+)
+from dialogeval.llm.oracle import ORACLES  # noqa: F401
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints_with_edits(_table(spark, folder, "documents"))
+
+
 def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.jaccard_components(_table(spark, folder, "documents"))
+    linked = jaccard.jaccard_components(_table(spark, folder, "documents"))
+    return linked.select("doc_id", "n_shingles", "component_id")
+
+
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.dedup_substrings(_table(spark, folder, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, folder, "documents"))
+
+
+def op5_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, folder, "documents"))
 
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, folder, "labels")))
+
+
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan_secrets(_table(spark, folder, "documents"))
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.round_trip(_table(spark, folder, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return htmlcut.extract(_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_license_scan": op4_license_scan,
+    "op5_mix_sources": op5_mix_sources,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_warc": op9_warc,
+    "op10_html_extraction": op10_html_extraction,
+    "pipeline": corpus_pipeline.run,
 }
-
-ORACLES: dict[str, str] = {}
