@@ -25,7 +25,7 @@ from dialogeval.operators import (
     rouge,
     sampling,
 )
-from dialogeval.plans import evaluation, human, training
+from dialogeval.plans import evaluation, human, inference, training
 from dialogeval.sources import datasets, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,9 @@ QUERIES: dict[str, Query] = {}
 
 # Sizes of the sampling queries, small enough to cut into the smallest test tables.
 SLICE = (100, 300)
+LONG_SLICE = (30, 900)
 SUBSET_ROWS = 50
+MIX_ROWS = 10
 HOLDOUT = (50, 120)
 SHEET_ROWS = 15
 READING_ROWS = 8
@@ -102,7 +104,8 @@ def scan_dataset(spark, sf):
 def scan_csv(spark, sf):
     path = scratch.scratch_path(spark, "scan_csv")
     datasets.write_csv(fx.tagged_documents(spark, sf), path)
-    return datasets.scan_csv(spark, path, "row_id bigint, dialogue string")
+    other = "dialogue string, row_id bigint"  # not the order of the file
+    return datasets.scan_csv(spark, path, other, multi_line=True).select("row_id", "dialogue")
 
 
 @query
@@ -111,7 +114,7 @@ def write_csv(spark, sf):
     rows = fx.outputs_long(spark, sf).select("dialog_id", "model", "model_output", "summary")
     datasets.write_csv(rows, path)
     return datasets.scan_csv(
-        spark, path, "dialog_id string, model string, model_output string, summary string"
+        spark, path, "dialog_id string, model string, model_output string, summary string", multi_line=True
     )
 
 
@@ -120,7 +123,8 @@ def write_dataset(spark, sf):
     path = scratch.scratch_path(spark, "write_dataset")
     datasets.write_dataset(training.build_training_set(fx.raw(spark, sf)), path)
     columns = ["dialog_id", "dialog", "summary", "split"]
-    return datasets.scan_dataset(spark, path, split="train", columns=columns)
+    parts = [datasets.scan_dataset(spark, path, split=split, columns=columns) for split in ("train", "test")]
+    return reshape.concat_tables(*parts)
 
 
 # --- Projections --------------------------------------------------------------------------------
@@ -267,9 +271,9 @@ def range_slice(spark, sf):
 
 @query
 def range_slice_ranked(spark, sf):
-    """The same slice on the path for slices too large for a top-k."""
+    """A slice that has most of the table, with its end behind the last row of small tables."""
     rows = documents(spark, sf).select("doc_id", "lang")
-    return sampling.range_slice(rows, SEED, "doc_id", *SLICE, top_k_rows=0)
+    return sampling.range_slice(rows, SEED, "doc_id", *LONG_SLICE)
 
 
 @query
@@ -538,24 +542,63 @@ def batch_generate(spark, sf):
     return generate.generate_extractive(prompts).select("row_id", "model", "model_output")
 
 
+COUNTERS = ["first-word", "last-word", "count"]
+
+
 def word_counter(model_id: str, settings: dict):
-    """A stand-in predictor: the first or last word of the input, or how many there are."""
+    """A stand-in predictor: the first or last word of the input, or of its last message, or how many there are."""
     pick = {"first-word": lambda w: w[0], "last-word": lambda w: w[-1], "count": lambda w: str(len(w))}
-    return lambda inputs: [pick[model_id](t.split(settings["separator"])) for t in inputs]
+    said = lambda t: t if isinstance(t, str) else t[-1]["content"]
+    return lambda inputs: [pick[model_id](said(t).split(settings["separator"])) for t in inputs]
 
 
 @query
 def batch_generate_predictor(spark, sf):
-    prompts = fx.tagged_documents(spark, sf).select("row_id", F.col("dialogue").alias("model_input"))
+    """A carried column beyond what a double can hold, missing in some rows."""
+    large = F.when(F.col("row_id") % 3 > 0, F.col("row_id") + F.lit(2**53 + 1)).alias("carried")
+    prompts = fx.tagged_documents(spark, sf).select("row_id", large, F.col("dialogue").alias("model_input"))
     outputs = generate.batch_generate(
-        prompts,
-        ["first-word", "last-word", "count"],
-        word_counter,
-        row_id="row_id",
-        partitions_per_model=2,
-        separator=" ",
+        prompts, COUNTERS, word_counter, row_id="row_id", partitions_per_model=2, separator=" "
     )
-    return outputs.select("row_id", "model", "model_output")
+    return outputs.select("row_id", "carried", "model", "model_output")
+
+
+@query
+def infer_holdout(spark, sf):
+    """Held-out rows through every model, one column per model."""
+    columns = projections.dialog_summary_columns(fx.raw(spark, sf))
+    rows = projections.project_keep(columns, ["dialog_id", *K.TRAINING_COLUMNS])
+    return inference.infer_holdout(
+        rows, COUNTERS, word_counter, row_id="dialog_id", used_rows=5, rows=HOLDOUT[0], separator=" "
+    )
+
+
+@query
+def infer_dialogsum(spark, sf):
+    """Distinct dialogues through every model, long."""
+    outputs = inference.infer_dialogs(
+        fx.tagged_documents(spark, sf), COUNTERS, word_counter, row_id="row_id", separator=" "
+    )
+    return outputs.select("row_id", "clean_dialog", "model", "model_output")
+
+
+@query
+def label_map_io(spark, sf):
+    """The label map through its file."""
+    path = scratch.scratch_path(spark, "label_map")
+    datasets.write_label_map(fx.label_map(spark, sf), path)
+    return datasets.scan_label_map(spark, path).withColumn("position", F.col("position").cast("bigint"))
+
+
+@query
+def dated_output(spark, sf):
+    """Results of two dates under one path; one of them is read back."""
+    path = scratch.scratch_path(spark, "dated")
+    rows = fx.ballots(spark, sf)
+    datasets.write_dated(rows, path, "2024-05-01")
+    datasets.write_dated(rows.where("winner IS NOT NULL"), path, "2024-05-02")
+    found = datasets.scan_dataset(spark, path).where("run_date = DATE'2024-05-02'")
+    return found.select("dialog_id", "winner", F.col("run_date").cast("string").alias("run_date"))
 
 
 def flat_entities(df: DataFrame, input_col: str) -> DataFrame:
@@ -648,7 +691,7 @@ def mix_corpora(spark, sf):
 
 @query
 def mix_corpora_eval(spark, sf):
-    subset = training.evaluation_mix(mixed(spark, sf), rows=SUBSET_ROWS)
+    subset = training.evaluation_mix(mixed(spark, sf), rows=MIX_ROWS)
     return subset.select("row_id", "text")
 
 

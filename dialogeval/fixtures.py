@@ -14,8 +14,6 @@ from dialogeval.functions import chat, text
 from dialogeval.functions.hashing import hash_number
 from dialogeval.operators import entities, generate, rouge, sampling
 
-# A conversation longer than this many turns continues as a further dialogue.
-TURNS_PER_DIALOG = 64
 USER_TAG, ASSISTANT_TAG = "#Person1#: ", "#Person2#: "
 MODELS = ["org/lead-1", "org/tail-1", "org/longest-1", "org/user-1"]
 SHORT_MODELS = [m.split("/")[-1] for m in MODELS]
@@ -28,16 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`(dialog_id, dialogue, summary)`; every group holds at most TURNS_PER_DIALOG turns."""
-    part = F.floor(F.col("turn") / TURNS_PER_DIALOG).cast("bigint")
-    turns = (
-        table(spark, sf_dir, "conversations")
-        .where("role <> 'system'")
-        .select(F.concat_ws(":", "conv_id", part).alias("dialog_id"), "turn", "role", "text")
-    )
-    grouped = turns.groupBy("dialog_id").agg(
+    """`(dialog_id, dialogue, summary)` of every conversation, however long; the id is its number as text."""
+    turns = table(spark, sf_dir, "conversations").where("role <> 'system'").select("conv_id", "turn", "role", "text")
+    grouped = turns.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")
     )
+    grouped = grouped.select(F.col("conv_id").cast("string").alias("dialog_id"), "turns")
 
     def tagged(turn: Column) -> Column:
         tag = F.when(turn["role"] == "user", USER_TAG).otherwise(ASSISTANT_TAG)

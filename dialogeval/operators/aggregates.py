@@ -18,22 +18,26 @@ SKETCH_ACCURACY = 20_000
 GROUP_BYTES = 2_000
 
 
+def score_means(scores: Sequence[str]) -> list[Column]:
+    """Mean of each score; missing scores do not count."""
+    return [F.avg(missing_to_null(F.col(s).cast("double"))).alias(f"mean_{s}") for s in scores]
+
+
+def entity_sums() -> list[Column]:
+    """Hallucinated and missed entities."""
+    return [
+        F.sum(f"num_{kind}_entities").cast("bigint").alias(f"{kind}_entities") for kind in ("hallucinated", "missed")
+    ]
+
+
 def mean_by_model(df: DataFrame, scores: Sequence[str], model: str = "model") -> DataFrame:
-    """Mean of each score per model; missing scores and rows without a model do not count."""
-    means = [F.avg(missing_to_null(F.col(s).cast("double"))).alias(f"mean_{s}") for s in scores]
-    return df.where(F.col(model).isNotNull()).groupBy(model).agg(*means)
+    """Mean of each score per model; rows without a model do not count."""
+    return df.where(F.col(model).isNotNull()).groupBy(model).agg(*score_means(scores))
 
 
 def entity_totals(df: DataFrame, model: str = "model") -> DataFrame:
     """Hallucinated and missed entities per model."""
-    return (
-        df.where(F.col(model).isNotNull())
-        .groupBy(model)
-        .agg(
-            F.sum("num_hallucinated_entities").cast("bigint").alias("hallucinated_entities"),
-            F.sum("num_missed_entities").cast("bigint").alias("missed_entities"),
-        )
-    )
+    return df.where(F.col(model).isNotNull()).groupBy(model).agg(*entity_sums())
 
 
 def mean_per_column(df: DataFrame, columns: Sequence[str], mean_name: str) -> DataFrame:

@@ -7,14 +7,14 @@ built on the executors, once per model and partition, and fed in Arrow batches.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from dialogeval.functions import text
-from dialogeval.operators.joins import models_x_prompts
 
 Predictor = Callable[[list], Sequence[str]]
 
@@ -73,33 +73,49 @@ def batch_generate(
     model_input: str = "model_input",
     row_id: str | None = None,
     partitions_per_model: int | None = None,
+    distinct: bool = False,
     **settings,
 ) -> DataFrame:
     """Run each model over all prompts and add `model`, `model_output`.
 
-    `build(model_id, settings)` makes a predictor on the executor; it maps a list of inputs to a list of
-    outputs. `settings` carries temperature, top_p, max_tokens and the like. Each task sorts its rows by
-    model, so it holds one predictor at a time and builds each once. With `partitions_per_model` the work
-    is first spread by model and unique `row_id`; the batch size is
-    `spark.sql.execution.arrow.maxRecordsPerBatch`.
+    `build(model_id, settings)` makes a predictor on the executor; it maps a list of inputs to as many outputs.
+    `settings` carries temperature, top_p, max_tokens and the like. Every model is a branch of its own, so a task builds
+    one predictor, and branches need no shuffle. With `partitions_per_model` the work of each is first spread by unique
+    `row_id`; the batch size is `spark.sql.execution.arrow.maxRecordsPerBatch`. Only the inputs become Python values;
+    all other columns pass through as they are. With `distinct`, equal inputs go to a model once and the outputs are
+    joined back.
     """
-    work = models_x_prompts(prompts, model_ids)
+    if partitions_per_model and row_id is None:
+        raise ValueError("spreading the work needs a unique row_id")
+    if distinct:
+        keyed = prompts.withColumn("_input_key", F.sha2(F.to_json(F.struct(model_input)), 256))
+        once = keyed.select("_input_key", model_input).dropDuplicates(["_input_key"])
+        spread = "_input_key" if partitions_per_model else None
+        outputs = batch_generate(
+            once, model_ids, build, model_input, spread, partitions_per_model, False, **settings
+        )
+        return keyed.join(outputs.drop(model_input), "_input_key").drop("_input_key")
+    work = prompts
     if partitions_per_model:
-        if row_id is None:
-            raise ValueError("spreading the work needs a unique row_id")
-        spread = F.pmod(F.xxhash64(row_id), F.lit(partitions_per_model))
-        work = work.repartition(partitions_per_model * len(model_ids), "model", spread)
-    work = work.sortWithinPartitions("model")
-    schema = StructType([*work.schema.fields, StructField("model_output", StringType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, predictor = None, None
-        for batch in batches:
-            parts = []
-            for model_id, rows in batch.groupby("model", sort=False):
-                if model_id != current:
-                    current, predictor = model_id, build(model_id, settings)
-                parts.append(rows.assign(model_output=list(predictor(rows[model_input].tolist()))))
-            yield pd.concat(parts) if parts else batch.assign(model_output=None)
-
-    return work.mapInPandas(run, schema)
+        work = prompts.repartition(partitions_per_model, F.xxhash64(row_id))
+    schema = StructType(
+        [*prompts.schema.fields, StructField("model", StringType()), StructField("model_output", StringType())]
+    )
+
+    def runner(model_id: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            predictor = None
+            for batch in batches:
+                predictor = predictor or build(model_id, settings)
+                inputs = batch.column(batch.schema.get_field_index(model_input)).to_pylist()
+                outputs = list(predictor(inputs)) if inputs else []
+                if len(outputs) != len(inputs):
+                    raise ValueError(f"{model_id} made {len(outputs)} outputs of {len(inputs)} inputs")
+                names = [*batch.schema.names, "model", "model_output"]
+                added = [pa.array([model_id] * len(inputs), pa.string()), pa.array(outputs, pa.string())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
+
+        return run
+
+    parts = [work.mapInArrow(runner(model_id), schema) for model_id in model_ids]
+    return reduce(DataFrame.unionByName, parts)

@@ -16,11 +16,13 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str, va
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str] | None = None) -> DataFrame:
-    """All columns but the ids become `(model, model_output)` rows; rows without text drop out.
+    """Output columns become `(model, model_output)` rows; rows without text drop out.
 
-    A `dialog` among the ids is turned back from a prompt into the bare dialogue.
+    Output columns are those with the usual prefix, or all but the `ids` if these are given. A `dialog` among the ids is turned back from a prompt into the bare dialogue.
     """
-    ids = [c for c in (ids or K.OUTPUT_ID_COLUMNS) if c in df.columns]
+    if ids is None:
+        ids = [c for c in df.columns if not c.startswith(K.OUTPUT_COLUMN_PREFIX)]
+    ids = [c for c in ids if c in df.columns]
     long = melt(df, ids, [c for c in df.columns if c not in ids], "model", "model_output")
     long = long.withColumn("model", text.model_from_column(F.col("model")))
     long = long.na.drop(subset=["summary", "model_output"])

@@ -7,6 +7,7 @@ beyond the first `k` rows of either part.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,13 +16,10 @@ from pyspark.sql import functions as F
 from dialogeval import constants as K
 from dialogeval.functions.hashing import below_fraction, hash_key
 
-# Up to this many rows a slice is a top-k of ids. Every task sends its k best to one task, so k must stay
-# small whatever the table; beyond it, ranks are distributed.
-TOP_K_ROWS = 500
 # A hash prefix of 4 hex digits: the count table has at most 65,536 rows whatever the data.
 BUCKET_DIGITS = 4
 
-_KEY, _BUCKET, _START, _END, _TOTAL = "_hash_key", "_bucket", "_start", "_end", "_total"
+_KEY, _BUCKET = "_hash_key", "_bucket"
 
 
 def seeded_shuffle(df: DataFrame, seed: int, row_id: str) -> DataFrame:
@@ -39,32 +37,31 @@ def train_test_split(df: DataFrame, seed: int, row_id: str, test_fraction: float
 
 
 def train_test_split_exact(df: DataFrame, seed: int, row_id: str, test_fraction: float) -> DataFrame:
-    """Add `split`; the `ceil(test_fraction * n)` rows with the lowest hash keys are the test split."""
+    """Add `split`; the `ceil(test_fraction * n)` rows with the lowest hash keys are the test split.
 
-    def mark(inside: Column) -> Column:
-        return F.when(inside, "test").otherwise("train")
+    The bound is found from the ids alone when this is called; the rows then decide for themselves, without a shuffle.
+    """
+    return split_before(df, seed, row_id, exact_bound(df, seed, row_id, test_fraction))
 
-    test_rows = lambda total: F.ceil(F.lit(test_fraction) * total)
-    whole, edge = _around_ranks(df, seed, row_id, lambda total: F.lit(0), test_rows)
-    return whole.withColumn("split", mark(F.col("_inside"))).drop("_inside").unionByName(
-        edge.withColumn("split", mark(F.col("_inside"))).drop("_inside")
-    )
 
+def exact_bound(df: DataFrame, seed: int, row_id: str, test_fraction: float) -> tuple[str, str] | None:
+    """`(key, id)` of the first row behind the test split; None if all rows are test."""
+    return _bounds_of_ranks(df, seed, row_id, lambda total: [math.ceil(test_fraction * total)])[0]
 
-def range_slice(
-    df: DataFrame, seed: int, row_id: str, lo: int, hi: int, top_k_rows: int = TOP_K_ROWS
-) -> DataFrame:
+
+def split_before(df: DataFrame, seed: int, row_id: str, bound: tuple[str, str] | None) -> DataFrame:
+    """Add `split`: rows before the bound are test."""
+    return df.withColumn("split", F.when(_before(seed, row_id, bound), "test").otherwise("train"))
+
+
+def range_slice(df: DataFrame, seed: int, row_id: str, lo: int, hi: int) -> DataFrame:
     """Rows `[lo, hi)` of the shuffled table; fewer if the table is shorter.
 
-    Small slices are a top-k over the ids alone, whose rows are then looked up. Large ones count rows per
-    hash bucket, take whole buckets as they are and rank only inside the two buckets that the bounds cut,
-    so no task ever sees the slice.
+    The hash keys at both bounds are found from the ids alone when this is called; the slice is then a filter on the
+    key of each row, whatever its size.
     """
-    if hi <= top_k_rows:
-        ids = seeded_shuffle(df.select(row_id), seed, row_id).offset(lo).limit(hi - lo)
-        return ids if df.columns == [row_id] else df.join(F.broadcast(ids), row_id, "left_semi")
-    whole, edge = _around_ranks(df, seed, row_id, lambda total: F.lit(lo), lambda total: F.lit(hi))
-    return whole.unionByName(edge).where("_inside").drop("_inside")
+    low, high = _bounds_of_ranks(df, seed, row_id, lambda total: [lo, hi])
+    return df.where(_before(seed, row_id, high) & ~_before(seed, row_id, low))
 
 
 def sample_n(df: DataFrame, seed: int, row_id: str, n: int, strict: bool = False) -> DataFrame:
@@ -104,42 +101,48 @@ def blind_labels(models: DataFrame, seed: int, style: str = "number") -> DataFra
     ranked = models.select(F.row_number().over(order).alias("position"), "model")
     label = F.col("position").cast("string")
     if style == "letter":
-        label = F.chr(F.col("position") + 96)
+        # a to z, then aa, ab, ... for up to 702 models.
+        place = F.col("position") - 1
+        first = F.when(place >= 26, F.chr(F.floor(place / 26) + 96)).otherwise("")
+        label = F.concat(first, F.chr(place % 26 + 97))
     return ranked.withColumn("label", label)
 
 
-def _around_ranks(
-    df: DataFrame,
-    seed: int,
-    row_id: str,
-    lo: Callable[[Column], Column],
-    hi: Callable[[Column], Column],
-) -> tuple[DataFrame, DataFrame]:
-    """`df` with `_inside` = rank in `[lo, hi)`, in two parts: whole buckets and buckets cut by a bound.
+def _before(seed: int, row_id: str, bound: tuple[str, str] | None) -> Column:
+    """Is the place of a row before `bound`? Everything is before the end."""
+    if bound is None:
+        return F.lit(True)
+    key, at = hash_key(seed, F.col(row_id)), F.col(row_id).cast("string")
+    return (key < bound[0]) | ((key == bound[0]) & (at < bound[1]))
+
+
+def _bounds_of_ranks(
+    df: DataFrame, seed: int, row_id: str, ranks: Callable[[int], list[int]]
+) -> list[tuple[str, str] | None]:
+    """`(key, id)` at each rank, counted from 0; None behind the last row.
 
-    The bucket table has at most 16 ** BUCKET_DIGITS rows. Hash keys of unique ids are uniform, so each
-    cut bucket, the only thing that is ranked, holds about n / 65,536 rows.
+    Rows are counted per hash prefix (at most 16 ** BUCKET_DIGITS counts, whatever the table holds) and ids are ranked
+    only in the buckets that hold a wanted rank, about n / 65,536 ids each. An id must be unique and not NULL: a rank
+    would not name a row otherwise.
     """
-    keyed = df.withColumn(_KEY, hash_key(seed, F.col(row_id)))
+    keyed = df.select(F.col(row_id).cast("string").alias("_id"), hash_key(seed, F.col(row_id)).alias(_KEY))
     keyed = keyed.withColumn(_BUCKET, F.substring(_KEY, 1, BUCKET_DIGITS))
-    counts = keyed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
-    running = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.orderBy(_BUCKET).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    bounds = counts.select(
-        _BUCKET,
-        (F.sum("_rows").over(running) - F.col("_rows")).alias(_START),
-        F.sum("_rows").over(running).alias(_END),
-        F.sum("_rows").over(everything).alias(_TOTAL),
-    )
-    lower, upper = lo(F.col(_TOTAL)), hi(F.col(_TOTAL))
-    inside = (F.col(_START) >= lower) & (F.col(_END) <= upper)
-    outside = (F.col(_END) <= lower) | (F.col(_START) >= upper)
-    placed = keyed.join(F.broadcast(bounds.withColumn("_cut", ~(inside | outside))), _BUCKET)
-
-    whole = placed.where(~F.col("_cut")).withColumn("_inside", inside)
-    rank = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(_KEY, row_id))
-    edge = placed.where("_cut").withColumn("_rank", F.col(_START) + rank - 1)
-    edge = edge.withColumn("_inside", (F.col("_rank") >= lower) & (F.col("_rank") < upper))
-    return whole.select(*df.columns, "_inside"), edge.select(*df.columns, "_inside")
+    counts = keyed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n"), F.count("_id").alias("ids")).collect()
+    if any(row["n"] != row["ids"] for row in counts):
+        raise ValueError(f"{row_id} is NULL in some rows, so they have no place in the order")
+    counts = sorted((row[_BUCKET], row["n"]) for row in counts)
+    wanted = ranks(sum(n for _, n in counts))
+    places, start = {}, 0
+    for bucket, n in counts:
+        for rank in wanted:
+            if start <= rank < start + n:
+                places[rank] = (bucket, rank - start)
+        start += n
+    inside = keyed.where(F.col(_BUCKET).isin(sorted({bucket for bucket, _ in places.values()})))
+    order = Window.partitionBy(_BUCKET).orderBy(_KEY, "_id")
+    ranked = inside.withColumn("_rank", F.row_number().over(order) - 1)
+    hit = F.lit(False)
+    for bucket, rank in places.values():
+        hit = hit | ((F.col(_BUCKET) == bucket) & (F.col("_rank") == rank))
+    found = {(row[_BUCKET], row["_rank"]): (row[_KEY], row["_id"]) for row in ranked.where(hit).collect()}
+    return [found[places[rank]] if rank in places else None for rank in wanted]

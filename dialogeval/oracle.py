@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dialogeval import constants as K
 from dialogeval import fixtures as fx
-from dialogeval.catalog import HOLDOUT, READING_ROWS, SEED, SHEET_ROWS, SLICE, SUBSET_ROWS
+from dialogeval.catalog import HOLDOUT, LONG_SLICE, MIX_ROWS, READING_ROWS, SEED, SHEET_ROWS, SLICE, SUBSET_ROWS
 
 
 def text_literal(value: str) -> str:
@@ -41,6 +41,12 @@ def is_test(x: str) -> str:
     return f"('0x' || substr({place(x)}, 1, 8))::BIGINT < {int(K.TEST_FRACTION * 2**32)}"
 
 
+def exact_split(x: str) -> str:
+    """The split with exactly the given share of test rows."""
+    rank = f"row_number() OVER (ORDER BY {place(x)}, {x})"
+    return f"CASE WHEN {rank} <= ceil({K.TEST_FRACTION} * count(*) OVER ()) THEN 'test' ELSE 'train' END"
+
+
 def sentences(x: str) -> str:
     return (
         f"list_filter(list_transform(regexp_split_to_array({x}, '[.\\n]'), "
@@ -106,7 +112,7 @@ cte(
            string_agg(CASE WHEN role = 'user' THEN '#Person1#: ' ELSE '#Person2#: ' END || text,
                       chr(10) ORDER BY turn) AS dialogue,
            {lead("arg_min(text, turn) FILTER (WHERE role = 'assistant')")} AS summary
-    FROM (SELECT conv_id || ':' || (turn // {fx.TURNS_PER_DIALOG}) AS dialog_id, turn, role, text
+    FROM (SELECT CAST(conv_id AS VARCHAR) AS dialog_id, turn, role, text
           FROM conversations WHERE role <> 'system')
     GROUP BY dialog_id""",
 )
@@ -344,7 +350,7 @@ cte(
     sql=f"""
     SELECT row_id,
            {chatml(('system', 'system_prompt'), ('user', 'dialog'), ('assistant', 'summary'))} AS text,
-           CASE WHEN {is_test('row_id')} THEN 'test' ELSE 'train' END AS split
+           {exact_split('row_id')} AS split
     FROM (SELECT 'd:' || dialog_id AS row_id, * FROM processed)
     UNION ALL BY NAME SELECT row_id, text, split FROM corpus2""",
 )
@@ -564,7 +570,7 @@ def _oracles() -> dict[str, str]:
         "SELECT dialog_id, model_id AS model, model_output, summary FROM outputs", "outputs"
     )
     q["write_dataset"] = statement(
-        f"SELECT dialog_id, dialog, summary, 'train' AS split FROM processed WHERE NOT ({is_test('dialog_id')})",
+        f"SELECT dialog_id, dialog, summary, {exact_split('dialog_id')} AS split FROM processed",
         "processed",
     )
     q["split_response"] = statement("SELECT dialog_id, summary, dialog FROM parts", "parts")
@@ -623,7 +629,7 @@ def _oracles() -> dict[str, str]:
         f"SELECT dialog_id, winner FROM votes ORDER BY dialog_id LIMIT {K.BALLOTS_READ}", "votes"
     )
     q["range_slice"] = shuffled("documents", "doc_id", "doc_id, lang", *SLICE)
-    q["range_slice_ranked"] = q["range_slice"]
+    q["range_slice_ranked"] = shuffled("documents", "doc_id", "doc_id, lang", *LONG_SLICE)
     q["dedup_exact"] = statement("SELECT row_id, clean_dialog FROM prompts", "prompts")
     q["models_x_prompts"] = statement(
         f"SELECT dialog_id, dialogue, model FROM dialogs, unnest({MODEL_LIST}) AS m(model)", "dialogs"
@@ -783,12 +789,34 @@ def _oracles() -> dict[str, str]:
         "tagged",
     )
     q["batch_generate_predictor"] = statement(
-        """SELECT row_id, m.model AS model, m.output AS model_output
+        """SELECT row_id, CASE WHEN row_id % 3 > 0 THEN row_id + 9007199254740993 END AS carried,
+                  m.model AS model, m.output AS model_output
            FROM (SELECT row_id, string_split(dialogue, ' ') AS w FROM tagged),
                 unnest([{model: 'first-word', output: w[1]}, {model: 'last-word', output: w[-1]},
                         {model: 'count', output: len(w)::VARCHAR}]) AS u(m)""",
         "tagged",
     )
+    q["infer_holdout"] = statement(
+        f"""SELECT dialog_id, summary, dialog, system_prompt, w[1] AS "summary_by_first-word",
+                   w[-1] AS "summary_by_last-word", len(w)::VARCHAR AS summary_by_count
+            FROM (SELECT *, string_split(dialog, ' ') AS w,
+                         row_number() OVER (ORDER BY {place('dialog_id')}, dialog_id) AS r FROM processed)
+            WHERE r > 5 AND r <= {5 + HOLDOUT[0]}""",
+        "processed",
+    )
+    q["infer_dialogsum"] = statement(
+        f"""SELECT row_id, clean_dialog, m.model AS model, m.output AS model_output
+            FROM (SELECT row_id, clean_dialog, string_split({PREFIX_ONE_LINE} || clean_dialog, ' ') AS w FROM prompts),
+                 unnest([{{model: 'first-word', output: w[1]}}, {{model: 'last-word', output: w[-1]}},
+                         {{model: 'count', output: len(w)::VARCHAR}}]) AS u(m)""",
+        "prompts",
+    )
+    q["label_map_io"] = statement(
+        "SELECT position, model, position::VARCHAR AS label FROM labels4", "labels4"
+    )
+    q["dated_output"] = statement(
+        "SELECT dialog_id, winner, '2024-05-02' AS run_date FROM votes WHERE winner IS NOT NULL", "votes"
+    )
     q["entity_scores"] = statement(f"SELECT dialog_id, model, {_SETS} FROM sets_summary", "sets_summary")
     q["entity_scores_large_gazetteer"] = q["entity_scores"]
     q["entity_scores_dialog"] = statement(f"SELECT dialog_id, model, {_SETS} FROM sets_dialog", "sets_dialog")
@@ -810,7 +838,7 @@ def _oracles() -> dict[str, str]:
     )
     q["build_training_set"] = statement(
         f"""SELECT dialog_id, summary, dialog, system_prompt,
-                   CASE WHEN {is_test('dialog_id')} THEN 'test' ELSE 'train' END AS split,
+                   {exact_split('dialog_id')} AS split,
                    'system|user|assistant' AS roles,
                    concat_ws('|', system_prompt, dialog, summary) AS contents
             FROM processed""",
@@ -818,7 +846,7 @@ def _oracles() -> dict[str, str]:
     )
     q["mix_corpora"] = statement("SELECT row_id, text FROM mixed WHERE split = 'train'", "mixed")
     q["mix_corpora_eval"] = statement(
-        shuffled("(SELECT * FROM mixed WHERE split = 'test')", "row_id", "row_id, text", 0, SUBSET_ROWS),
+        shuffled("(SELECT * FROM mixed WHERE split = 'test')", "row_id", "row_id, text", 0, MIX_ROWS),
         "mixed",
     )
     q["prepare_eval_prompts"] = statement(

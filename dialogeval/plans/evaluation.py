@@ -52,10 +52,7 @@ def evaluate_outputs(
 def leaderboard(evaluated: DataFrame, votes: DataFrame, label_map: DataFrame) -> DataFrame:
     """One row per model: mean scores, entity totals, human wins. The scores are read once."""
     scores = evaluated.where(F.col("model").isNotNull()).groupBy("model").agg(
-        F.avg("bert_f1").alias("mean_bert_f1"),
-        F.avg("rouge_l").alias("mean_rouge_l"),
-        F.sum("num_hallucinated_entities").cast("bigint").alias("hallucinated_entities"),
-        F.sum("num_missed_entities").cast("bigint").alias("missed_entities"),
+        *aggregates.score_means(["bert_f1", "rouge_l"]), *aggregates.entity_sums()
     )
     wins = aggregates.win_counts(votes, label_map).select("model", "wins")
     return scores.join(wins, "model", "left")

@@ -13,13 +13,20 @@ def build_training_set(
     seed: int = K.SHUFFLE_SEED,
     row_id: str = "dialog_id",
     test_fraction: float = K.TEST_FRACTION,
+    exact: bool = True,
 ) -> DataFrame:
-    """Clean, wrap in prompts, add messages and a split. One map stage from scan to write."""
+    """Clean, wrap in prompts, add messages and a split. One map stage from scan to write.
+
+    The test split has exactly `ceil(test_fraction * n)` rows, whose bound is found from the ids alone beforehand. A
+    stream has no count: with `exact` off each row decides by a threshold on its hash key.
+    """
     columns = projections.dialog_summary_columns(raw)
     kept = projections.project_keep(columns, [row_id, *K.TRAINING_COLUMNS])
-    return sampling.train_test_split(
-        projections.add_messages(kept), seed, row_id, test_fraction
-    )
+    rows = projections.add_messages(kept)
+    if not exact:
+        return sampling.train_test_split(rows, seed, row_id, test_fraction)
+    bound = sampling.exact_bound(raw, seed, row_id, test_fraction)
+    return sampling.split_before(rows, seed, row_id, bound)
 
 
 def mix_corpora(processed: DataFrame, second: DataFrame) -> DataFrame:

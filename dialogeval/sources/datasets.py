@@ -61,14 +61,25 @@ def scan_csv(
     path: str,
     schema: StructType | str,
     na_values: Sequence[str] = (),
-    multi_line: bool = True,
+    multi_line: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Read header CSV whose quoted cells may hold newlines, commas and doubled quotes.
+    """Read header CSV whose quoted cells may hold commas and doubled quotes, and newlines with `multi_line`.
 
-    Cells equal to one of `na_values` become missing, as does an empty cell. `multi_line` makes a file
-    one task; large exports should come as many files (which `write_csv` produces) or as Parquet.
+    Columns are found by their header names, in whatever order the files have them; the result has the order of
+    `schema`. Unknown and missing columns raise, as do files whose headers differ, cells that are not of their type and
+    rows with more or fewer cells (`mode` can relax the last two). Cells equal to one of `na_values` become missing, as
+    does an empty cell. `multi_line` makes a file one task; large exports should come as many files (which `write_csv`
+    produces) or as Parquet.
     """
-    df = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
+    asked = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line, mode=mode)
+    header = reader.options(inferSchema=False).csv(path).columns
+    if sorted(header) != sorted(asked.names):
+        raise ValueError(f"the file has the columns {header}, not {asked.names}")
+    in_file = StructType([asked[name] for name in header])
+    # The headers of all files are checked; of the cells, those of the columns that are read.
+    df = reader.schema(in_file).options(enforceSchema=False).csv(path).select(*asked.names)
     if not na_values:
         return df
     strings = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}

@@ -32,8 +32,8 @@ def append_files(
 def stream_training_set(
     spark: SparkSession, source: str, schema: StructType | str, path: str, checkpoint: str, row_id: str
 ) -> StreamingQuery:
-    """Raw responses in, training rows out under `split=<train|test>`."""
-    rows = training.build_training_set(read_stream(spark, source, schema), row_id=row_id)
+    """Raw responses in, training rows out under `split=<train|test>`, split by threshold."""
+    rows = training.build_training_set(read_stream(spark, source, schema), row_id=row_id, exact=False)
     return append_files(rows, path, checkpoint, ("split",))
 
 

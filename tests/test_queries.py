@@ -40,12 +40,6 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["model", "num_rows", "mean_rouge_l"]
 
 
-def test_small_slice_sorts_ids_only(spark, sf_dir):
-    plan = QUERIES["range_slice"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan
-    assert "ReadSchema: struct<doc_id:bigint>" in plan and "ReadSchema: struct<doc_id:bigint,lang:string>" in plan
-
-
 def test_distinct_texts_are_shuffled_once(spark):
     from dialogeval.operators import entities
     from dialogeval.sources import scratch

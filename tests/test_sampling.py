@@ -33,12 +33,22 @@ def test_shuffle_is_the_order_of_hash_keys(rows):
 def test_slice_by_ranks_equals_top_k(rows, lo, hi):
     expected = order(map(str, range(3000)))[lo:hi]
     assert sorted(ids(sampling.range_slice(rows, SEED, "row_id", lo, hi))) == sorted(expected)
-    assert sorted(ids(sampling.range_slice(rows, SEED, "row_id", lo, hi, top_k_rows=-1))) == sorted(expected)
+
+
+def test_missing_ids_have_no_place(spark):
+    df = spark.createDataFrame([("1",), (None,)], "row_id string")
+    with pytest.raises(ValueError, match="NULL"):
+        sampling.range_slice(df, SEED, "row_id", 0, 1)
+
+
+def test_a_slice_is_a_filter(rows):
+    plan = sampling.range_slice(rows, SEED, "row_id", 10, 2000)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_slices_do_not_depend_on_partitions(rows):
-    one = ids(sampling.range_slice(rows.repartition(1), SEED, "row_id", 50, 80, top_k_rows=0))
-    many = ids(sampling.range_slice(rows.repartition(13), SEED, "row_id", 50, 80, top_k_rows=0))
+    one = ids(sampling.range_slice(rows.repartition(1), SEED, "row_id", 50, 80))
+    many = ids(sampling.range_slice(rows.repartition(13), SEED, "row_id", 50, 80))
     assert sorted(one) == sorted(many)
 
 
@@ -84,9 +94,17 @@ def test_blind_labels_are_a_permutation(spark):
     assert sorted(r.model for r in labels) == ["a", "b", "c", "d"]
     letters = sampling.blind_labels(models, 3, style="letter").orderBy("position").collect()
     assert [r.label for r in letters] == ["a", "b", "c", "d"]
+    many = sampling.blind_labels(models.sparkSession.range(28).selectExpr("string(id) AS model"), 3, style="letter")
+    assert [r.label for r in many.orderBy("position").collect()][24:] == ["y", "z", "aa", "ab"]
     assert [r.model for r in letters] == [r.model for r in labels]
 
 
+def test_training_split_is_exact(spark):
+    for n in (1, 20, 41):
+        raw = spark.createDataFrame([(str(i), f"x **Summary: {i}") for i in range(n)], "dialog_id string, response string")
+        assert training.build_training_set(raw).where("split = 'test'").count() == math.ceil(0.05 * n)
+
+
 def test_training_set_mix(spark):
     raw = spark.createDataFrame(
         [(str(i), f"A: hi {i}\nB: **yo**\n\n**Summary:** *They met {i}.*\n") for i in range(50)],

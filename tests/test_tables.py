@@ -267,6 +267,27 @@ def test_predictors_run_on_prompt_messages(spark, spread):
         assert r.model_output == f"{r.model}:0.2:{r.prompt[-1].content}"
 
 
+def test_equal_inputs_go_to_a_model_once_and_other_columns_are_untouched(spark):
+    def build(model_id, settings):
+        assert model_id in ("m", "n")
+        return lambda inputs: [f"{model_id}{x}{len(inputs) == len(set(inputs))}" for x in inputs]
+
+    rows = [(2**53 + 1, "a"), (None, "a"), (3, "b"), (4, None)]
+    df = spark.createDataFrame(rows, "big bigint, model_input string").repartition(1)
+    for distinct in (False, True):
+        out = generate.batch_generate(df, ["m", "n"], build, distinct=distinct).collect()
+        assert sorted((str(r.big), str(r.model_input), r.model) for r in out) == sorted(
+            (str(b), str(x), m) for b, x in rows for m in ("m", "n")
+        )
+        assert all(r.model_output == f"{r.model}{r.model_input}{distinct}" for r in out)
+
+
+def test_a_predictor_must_answer_every_input(spark):
+    df = spark.createDataFrame([("x",), ("y",)], "model_input string")
+    with pytest.raises(Exception, match="1 outputs of"):
+        generate.batch_generate(df.repartition(1), ["m"], lambda m, s: lambda inputs: inputs[:1]).collect()
+
+
 def test_spreading_needs_a_row_id(spark):
     df = spark.createDataFrame([("x",)], "model_input string")
     with pytest.raises(ValueError, match="row_id"):
