@@ -625,7 +625,7 @@ def entity_scores_large_gazetteer(spark, sf):
     """The path for gazetteers too large to broadcast."""
     rows, listed = stored(spark, sf, "short_outputs_long"), stored(spark, sf, "gazetteer")
     columns = ["summary", "model_output"]
-    tagged = entities.with_entities(rows, ["dialog_id", "model"], columns, listed, max_broadcast_bytes=0)
+    tagged = entities.with_entities(rows, columns, listed, max_broadcast_bytes=0)
     return flat_entities(entities.entity_differences(tagged, *columns), "summary")
 
 

@@ -148,10 +148,13 @@ def ballots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`(entity, type)` of every capitalised span in the dialogues."""
-    spans = dialogs(spark, sf_dir).select(
-        F.explode(entities.candidate_spans(F.col("dialogue"))).alias("entity")
-    )
+    """`(entity, type)` of capitalised spans, of the words inside them, and of the first two words of each dialogue."""
+    parts = entities.pieces(F.col("dialogue"))
+    spans = entities.candidate_spans(F.col("dialogue"))
+    inside = F.flatten(F.transform(spans, lambda s: F.split(s, " ")))
+    # After the tag come a word, what follows it, and the next word.
+    phrase = F.array_compact(F.array(F.when(F.size(parts) > 5, F.array_join(F.slice(parts, 4, 3), ""))))
+    spans = dialogs(spark, sf_dir).select(F.explode(F.concat(spans, inside, phrase)).alias("entity"))
     types = F.array(*[F.lit(t) for t in ("PER", "ORG", "LOC", "MISC")])
     number = (hash_number(F.col("entity")) % 4).cast("int")
     return spans.distinct().withColumn("type", F.get(types, number))

@@ -1,21 +1,30 @@
 """Dictionary entity tagging and entity differences.
 
-Tagging here is a gazetteer join: a span is an entity if the `(entity, type)` table lists it. It stands where
-a neural tagger would stand and gives the same shape of result, a set of entity texts per text.
+An entity occurs where a piece of the text that begins and ends at the edge of a word equals an entry of the
+`(entity, type)` table; words are runs of letters and digits. So single words, acronyms, names in any script, and phrases
+inside longer runs of capitals are found. The longest entry wins: an occurrence inside a longer one does not count. The
+table stands where a neural tagger would stand and gives the same shape of result, a set of entity texts per text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dialogeval import constants as K
-from dialogeval.operators.joins import MAX_BROADCAST_BYTES, lookup_join
+from dialogeval.operators.joins import fits, salted_join
 from dialogeval.operators.reshape import set_difference, set_or_empty, set_size
+from dialogeval.sources import scratch
 
 SPAN_PATTERN = "[A-Z][a-z]+(?: [A-Z][a-z]+)*"
+# Words, and what stands between them.
+PIECES = "[\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+"
+# A gazetteer up to this size is sent to every task.
+MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def candidate_spans(text: Column) -> Column:
@@ -23,37 +32,103 @@ def candidate_spans(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(SPAN_PATTERN), F.lit(0)))
 
 
-def tag_columns(
+def pieces(text: Column) -> Column:
+    """Words and what stands between them, alternating; together they are the text."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PIECES), F.lit(0))
+
+
+def find_entities(text: str, listed: set[str], lengths: list[int]) -> list[str]:
+    """Sorted distinct entries that occur in a text; `lengths` are the numbers of pieces entries have."""
+    parts = re.findall(r"[^\W_]+|[\W_]+", text)
+    found = []
+    for i in range(0 if parts and parts[0][0].isalnum() else 1, len(parts), 2):
+        for n in lengths:
+            if i + n <= len(parts) and (name := "".join(parts[i : i + n])) in listed:
+                found.append((i, i + n, name))
+    # By start, the longer first: what lies inside an earlier one ends no later than the furthest end so far.
+    out, reach = set(), 0
+    for _, end, name in sorted(found, key=lambda m: (m[0], -m[1])):
+        if end > reach:
+            out.add(name)
+            reach = end
+    return sorted(out)
+
+
+def with_entities(
     df: DataFrame,
-    keys: Sequence[str],
     columns: Sequence[str],
     gazetteer: DataFrame,
     types: Sequence[str] = K.ENTITY_TYPES,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """`keys` + sorted `entities_in_<column>` per text column, for rows in which any entity is found.
+    """Add a sorted set `entities_in_<column>` for each text column; a missing text has none.
 
-    One pass for all columns. Only short spans are shuffled, never texts; spans are distinct within their
-    text before the join. The gazetteer is broadcast if it was measured as small; otherwise both sides are
-    shuffled and a span that many texts share is salted. The final group is one row of the input.
+    The gazetteer is measured first. Up to the limit it goes to every task and each row is tagged where it is, without
+    keys and without a shuffle. Beyond it the pieces of text are joined to it.
     """
-    listed = gazetteer.where(F.col("type").isin(*types)).select("entity").distinct()
-
-    def spans_of(side: int, column: str) -> Column:
-        found = F.coalesce(candidate_spans(F.col(column)), F.array().cast("array<string>"))
-        return F.transform(found, lambda span: F.struct(F.lit(side).alias("side"), span.alias("entity")))
-
-    tagged_spans = [spans_of(side, column) for side, column in enumerate(columns)]
-    spans = df.select(*keys, F.explode(F.concat(*tagged_spans)).alias("span"))
-    spans = spans.select(*keys, "span.side", "span.entity")
-    found = lookup_join(spans, listed, "entity", [*keys, "side"], max_broadcast_bytes=max_broadcast_bytes)
+    listed = gazetteer.where(F.col("type").isin(*types)).select("entity").where("entity <> ''").distinct()
+    count = F.size(pieces(F.col("entity")))
+    lengths = sorted(r["n"] for r in listed.select(count.alias("n")).distinct().collect() if r["n"] % 2)
+    if not fits(listed, F.octet_length("entity") + 64, max_broadcast_bytes):
+        return _with_joined_entities(df, columns, listed, lengths)
+    names = {r["entity"] for r in listed.toLocalIterator()}
+    shared = df.sparkSession.sparkContext.broadcast(names)
+
+    @F.pandas_udf("array<string>")
+    def tag(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: find_entities(t, shared.value, lengths))
+
+    return df.withColumns({f"entities_in_{c}": tag(F.coalesce(F.col(c), F.lit(""))) for c in columns})
+
+
+def _with_joined_entities(df: DataFrame, columns: Sequence[str], listed: DataFrame, lengths: list[int]) -> DataFrame:
+    """Every row is stored under a number of its own. Runs of pieces are shuffled, never texts; a run that many texts
+    share is salted; the runs of one row come together again."""
+    rows = scratch.through_table(df.withColumn("_row", F.monotonically_increasing_id()), "tagged_rows")
+
+    def runs(side: int, column: str) -> Column:
+        parts = pieces(F.col(column))
+        # Words are every other piece, so the places of two words differ by an even number.
+        first = F.when(F.get(parts, F.lit(0)).rlike("^[\\p{L}\\p{N}]"), 0).otherwise(1)
+        starts = F.filter(F.sequence(F.lit(0), F.size(parts)), lambda i: i % 2 == first)
+
+        def at(i: Column) -> Column:
+            ends = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: i + n <= F.size(parts))
+            return F.transform(
+                ends,
+                lambda n: F.struct(
+                    F.lit(side).alias("side"),
+                    i.alias("i"),
+                    (i + n).alias("j"),
+                    F.array_join(F.slice(parts, i + 1, n), "").alias("entity"),
+                ),
+            )
+
+        return F.flatten(F.transform(starts, at))
+
+    if not lengths:
+        empty = F.array().cast("array<string>")
+        return df.withColumns({f"entities_in_{c}": empty for c in columns})
+    both = F.concat(*[runs(side, column) for side, column in enumerate(columns)])
+    spans = rows.select("_row", F.explode(both).alias("run")).select("_row", "run.*")
+    # Both sides of the join and the search for frequent runs read them.
+    spans = scratch.through_table(spans, "runs")
+    found = salted_join(spans, listed, "entity", ["_row", "side", "i"])
+    matches = F.collect_list(F.struct("i", "j", "entity"))
+    found = found.groupBy("_row", "side").agg(matches.alias("all"))
+    longest = F.filter(
+        "all",
+        lambda m: ~F.exists("all", lambda o: (o["i"] <= m["i"]) & (o["j"] >= m["j"]) & (o["j"] - o["i"] > m["j"] - m["i"])),
+    )
+    found = found.withColumn("names", F.array_sort(F.array_distinct(F.transform(longest, lambda m: m["entity"]))))
     sets = [
-        F.array_sort(F.collect_set(F.when(F.col("side") == side, F.col("entity")))).alias(
-            f"entities_in_{column}"
-        )
+        F.flatten(F.collect_list(F.when(F.col("side") == side, F.col("names")))).alias(f"entities_in_{column}")
         for side, column in enumerate(columns)
     ]
-    return found.groupBy(*keys).agg(*sets)
+    joined = rows.join(found.groupBy("_row").agg(*sets), "_row", "left")
+    return joined.select(
+        *df.columns, *[set_or_empty(F.col(f"entities_in_{c}")).alias(f"entities_in_{c}") for c in columns]
+    )
 
 
 def extract_entities(
@@ -62,32 +137,10 @@ def extract_entities(
     column: str = "text",
     types: Sequence[str] = K.ENTITY_TYPES,
 ) -> DataFrame:
-    """One row per distinct text: `(text, entities)`, the set empty if nothing is found.
-
-    Copies of a text collapse in the map tasks. The spans travel under the SHA-256 of their text.
-    """
+    """One row per distinct text: `(text, entities)`, the set empty if nothing is found. Copies collapse in the map tasks."""
     distinct = texts.select(column).where(F.col(column).isNotNull()).distinct()
-    # Never NULL, so that the join below adds no filter and the distinct texts are computed once.
-    text_key = F.coalesce(F.sha2(F.col(column), 256), F.lit(""))
-    keyed = distinct.withColumn("_text_key", text_key)
-    found = tag_columns(keyed, ["_text_key"], [column], gazetteer, types)
-    entities = set_or_empty(F.col(f"entities_in_{column}")).alias("entities")
-    return keyed.join(found, "_text_key", "left").select(column, entities)
-
-
-def with_entities(
-    df: DataFrame,
-    keys: Sequence[str],
-    columns: Sequence[str],
-    gazetteer: DataFrame,
-    types: Sequence[str] = K.ENTITY_TYPES,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame:
-    """Add `entities_in_<column>` for each text column. `keys` identify a row."""
-    found = tag_columns(df, keys, columns, gazetteer, types, max_broadcast_bytes)
-    sets = [f"entities_in_{column}" for column in columns]
-    joined = df.join(found, list(keys), "left")
-    return joined.select(*df.columns, *[set_or_empty(F.col(s)).alias(s) for s in sets])
+    found = with_entities(distinct, [column], gazetteer, types)
+    return found.withColumnRenamed(f"entities_in_{column}", "entities")
 
 
 def entity_differences(df: DataFrame, input_col: str, output_col: str) -> DataFrame:
@@ -108,9 +161,8 @@ def entity_scores(
     gazetteer: DataFrame,
     input_col: str = "summary",
     output_col: str = "model_output",
-    keys: Sequence[str] = ("dialog_id", "model"),
     types: Sequence[str] = K.ENTITY_TYPES,
 ) -> DataFrame:
     """Add the entity sets of both texts, their differences and counts."""
-    tagged = with_entities(df, keys, [input_col, output_col], gazetteer, types)
+    tagged = with_entities(df, [input_col, output_col], gazetteer, types)
     return entity_differences(tagged, input_col, output_col)

@@ -78,6 +78,10 @@ def markup(x: str) -> str:
     return strip(f"regexp_replace({x}, '[\\n*:]', '', 'g')")
 
 
+def pieces(x: str) -> str:
+    return f"regexp_extract_all({x}, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+')"
+
+
 def words(x: str) -> str:
     return f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
 
@@ -212,7 +216,11 @@ cte(
     "dialogs",
     sql=f"""
     SELECT entity, ['PER', 'ORG', 'LOC', 'MISC'][1 + {number('entity')} % 4] AS type
-    FROM (SELECT DISTINCT unnest({spans('dialogue')}) AS entity FROM dialogs)""",
+    FROM (SELECT DISTINCT unnest(list_concat({spans('dialogue')},
+                   flatten([string_split(s, ' ') FOR s IN {spans('dialogue')}]),
+                   CASE WHEN len({pieces('dialogue')}) > 5
+                        THEN [array_to_string(({pieces('dialogue')})[4:6], '')] ELSE [] END)) AS entity
+          FROM dialogs)""",
 )
 cte(
     "vectors",
@@ -306,14 +314,28 @@ cte(
 )
 
 
+def entities_of(source: str, keys: str, text: str) -> str:
+    """`keys, entity`: listed entries that occur in a text between word edges and inside no longer one."""
+    return f"""
+    (WITH parts AS (SELECT DISTINCT {keys}, {pieces(text)} AS p FROM {source} WHERE {text} IS NOT NULL),
+    runs AS (
+      SELECT {keys}, i, i + n AS j, array_to_string(p[i:i + n - 1], '') AS entity
+      FROM (SELECT {keys}, p, unnest(range(1, len(p) + 1)) AS i FROM parts),
+           (SELECT DISTINCT len({pieces('entity')}) AS n FROM listed)
+      WHERE i + n <= len(p) + 1 AND regexp_matches(p[i], '^[\\p{{L}}\\p{{N}}]')),
+    hits AS (SELECT * FROM runs SEMI JOIN (SELECT entity FROM listed WHERE type IN {TYPES}) USING (entity))
+    SELECT DISTINCT {keys}, entity FROM hits a
+    WHERE NOT EXISTS (SELECT 1 FROM hits b WHERE ({", ".join("a." + k for k in keys.split(", "))}) = ({", ".join("b." + k for k in keys.split(", "))})
+                      AND b.i <= a.i AND b.j >= a.j AND b.j - b.i > a.j - a.i))"""
+
+
 def entity_sets(source: str, given: str) -> str:
     """`dialog_id, model, given, said`: sorted allowed entities of both texts."""
 
     def listed(x: str) -> str:
         return (
             f"SELECT dialog_id, model, list_sort(list(entity)) AS found FROM "
-            f"(SELECT dialog_id, model, unnest({spans(x)}) AS entity FROM {source}) "
-            f"JOIN listed USING (entity) WHERE type IN {TYPES} GROUP BY ALL"
+            f"{entities_of(source, 'dialog_id, model', x)} GROUP BY ALL"
         )
 
     return f"""
@@ -774,9 +796,9 @@ def _oracles() -> dict[str, str]:
     q["bert_score_joined"] = q["bert_score"]
     q["extract_entities"] = statement(
         f"""SELECT text, coalesce({bar("list_sort(list(entity) FILTER (WHERE entity IS NOT NULL))")}, '') AS entities
-            FROM (SELECT text, span FROM (SELECT dialogue AS text FROM dialogs UNION SELECT summary FROM dialogs)
-                  LEFT JOIN unnest({spans('text')}) AS s(span) ON true)
-            LEFT JOIN (SELECT entity FROM listed WHERE type IN {TYPES}) ON entity = span
+            FROM (SELECT dialogue AS text FROM dialogs UNION SELECT summary FROM dialogs)
+            LEFT JOIN {entities_of("(SELECT dialogue AS text FROM dialogs UNION SELECT summary FROM dialogs)", "text", "text")}
+            USING (text)
             WHERE text IS NOT NULL GROUP BY text""",
         "listed",
     )

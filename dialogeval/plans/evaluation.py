@@ -42,11 +42,11 @@ def evaluate_outputs(
     """Entity differences, word-vector matching and subsequence overlap of each output.
 
     `input_col` is what entities are compared with (the summary, or the dialogue). Both scores are
-    row-local, so the only shuffles are those of the entity join.
+    row-local, and so is entity tagging with a gazetteer that fits.
     """
     scored = rouge.rouge_l(outputs, output_col, reference_col, stem)
     scored = bertscore.bert_score(scored, vectors, output_col, reference_col, keys)
-    return entities.entity_scores(scored, gazetteer, input_col, output_col, keys, types)
+    return entities.entity_scores(scored, gazetteer, input_col, output_col, types)
 
 
 def leaderboard(evaluated: DataFrame, votes: DataFrame, label_map: DataFrame) -> DataFrame:

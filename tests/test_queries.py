@@ -40,7 +40,7 @@ def test_entry(spark):
     assert __spark_entry__.entry(spark).columns == ["model", "num_rows", "mean_rouge_l"]
 
 
-def test_distinct_texts_are_shuffled_once(spark):
+def test_distinct_texts_are_tagged_in_place(spark):
     from dialogeval.operators import entities
     from dialogeval.sources import scratch
 
@@ -48,7 +48,7 @@ def test_distinct_texts_are_shuffled_once(spark):
     listed = spark.createDataFrame([("Ann", "PER")], "entity string, type string")
     found = entities.extract_entities(texts, listed)
     found.collect()
-    assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_training_set_is_one_map_stage_behind_its_input(spark):

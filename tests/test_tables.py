@@ -143,9 +143,13 @@ def test_winner_string_reads_the_first_ballots(spark):
 # --- Entities -----------------------------------------------------------------------------------
 
 
-def brute_entities(value, listed):
-    found = re.findall("[A-Z][a-z]+(?: [A-Z][a-z]+)*", value or "")
-    return sorted({s for s in found if s in listed})
+def brute_entities(text, listed):
+    text, found = text or "", []
+    for name in listed:
+        for m in re.finditer(rf"(?<![^\W_]){re.escape(name)}(?![^\W_])", text):
+            found.append((m.start(), m.end(), name))
+    inside = lambda a, b: b[0] <= a[0] and a[1] <= b[1] and a[:2] != b[:2]
+    return sorted({a[2] for a in found if not any(inside(a, b) for b in found)})
 
 
 def test_entity_scores_against_brute_force(spark):
@@ -184,6 +188,27 @@ def test_entity_types_are_a_parameter(spark):
     assert entities.extract_entities(df, table, types=["LOC"]).first().entities == []
 
 
+def test_entities_of_any_form_without_keys(spark):
+    table = [("IBM", "ORG"), ("Ann", "PER"), ("Bob", "PER"), ("NATO", "ORG"), ("Ann McDonald", "PER"), ("São Paulo", "LOC"), ("x-ray 2", "ORG"), ("Paulo", "PER")]
+    texts = [
+        ("IBM hired Ann. Yesterday Bob left. Dr Ann McDonald of NATO", ["Ann", "Ann McDonald", "Bob", "IBM", "NATO"]),
+        ("Ann McDonald, Bobby and IBMs", ["Ann McDonald"]),
+        ("to São Paulo by x-ray 2", ["São Paulo", "x-ray 2"]),
+        ("Paulo; São  Paulo", ["Paulo"]),
+        ("", []),
+        (None, []),
+    ]
+    rows = [(None, "m", t) for t, _ in texts] + [("1", None, "Ann"), ("1", None, "Bob")]
+    df = spark.createDataFrame(rows, "dialog_id string, model string, text string")
+    listed = spark.createDataFrame(table, "entity string, type string")
+    expected = sorted([(str(t), e) for t, e in texts] + [("Ann", ["Ann"]), ("Bob", ["Bob"])])
+    for limit in (entities.MAX_BROADCAST_BYTES, 0):
+        tagged = entities.with_entities(df, ["text"], listed, max_broadcast_bytes=limit)
+        assert sorted((str(r.text), r.entities_in_text) for r in tagged.collect()) == expected
+    local = entities.with_entities(df, ["text"], listed)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in local
+
+
 def hot_rows(spark):
     """Two thirds of all rows name one entity, the others one each; some name an unlisted one."""
     letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
@@ -199,8 +224,8 @@ def test_tagging_with_a_large_gazetteer_is_the_same(spark):
     table = table.withColumn("type", F.lit("PER"))
     found = []
     for limit in (entities.MAX_BROADCAST_BYTES, 0):
-        tagged = entities.tag_columns(rows, ["dialog_id"], ["text"], table, max_broadcast_bytes=limit)
-        found.append(sorted((r.dialog_id, r.entities_in_text[0]) for r in tagged.collect()))
+        tagged = entities.with_entities(rows, ["text"], table, max_broadcast_bytes=limit)
+        found.append(sorted((r.dialog_id, r.entities_in_text[0]) for r in tagged.collect() if r.entities_in_text))
     assert found[0] == found[1] and len(found[0]) == 25_000
 
 
