@@ -19,11 +19,17 @@ _BLOCK = 1 << 16
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in `edges` (a, b): the smallest node that it reaches.
 
-    Each round takes the smallest label among the neighbours in the edges as given, then follows labels of labels.
+    First every node keeps one edge, to its smallest neighbour below, and its other neighbours below are tied to that one,
+    which leaves hardly more edges than nodes where many tasks have found trees over the same nodes. Each round takes the smallest label among the neighbours in the edges as given, then follows labels of labels.
     Edges are never rewired, so no node gathers neighbours; labels that many nodes share occur only as keys of a
     plain join of two stored tables, which adaptive execution splits. Runs until nothing changes.
     """
-    both = edges.where("a <> b").select("a", "b").unionByName(edges.where("a <> b").selectExpr("b AS a", "a AS b"))
+    edges = edges.where("a <> b").selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
+    edges = scratch.through_table(edges, "edges")
+    below = scratch.through_table(edges.groupBy("b").agg(F.min("a").alias("low")), "below")
+    others = edges.join(below, "b").where("a <> low").selectExpr("low AS a", "a AS b").distinct()
+    edges = below.selectExpr("low AS a", "b").unionByName(others)
+    both = edges.unionByName(edges.selectExpr("b AS a", "a AS b"))
     both = scratch.through_table(both.distinct(), "edges")
     labels = both.groupBy("a").agg(F.min("b").alias("m")).selectExpr("a AS node", "least(a, m) AS label")
     labels = scratch.through_table(labels, "labels")
@@ -41,6 +47,26 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
+def forest(edges: np.ndarray) -> np.ndarray:
+    """(root, node) of every node that is not the smallest of its component, for rows (a, b)."""
+    nodes, ends = np.unique(edges, return_inverse=True)
+    a, b = ends.reshape(-1, 2).T if len(edges) else (ends, ends)
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        # Roots are hooked to smaller labels, then labels of labels are followed to the end.
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        while (further := new[new]).tobytes() != new.tobytes():
+            new = further
+        if (new == label).all():
+            break
+        label = new
+    child = np.flatnonzero(label != np.arange(len(nodes)))
+    return np.stack([nodes[label[child]], nodes[child]], 1)
+
+
 def cells_of(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 

@@ -8,13 +8,16 @@ is the component of every document under these links.
 2. Sets of at most `boundary` shingles are light. Each emits, for every pair of sizes that it can be part of, the
    subsets that a partner would have to share: two light sets link exactly when they have such a subset in common. The
    boundary is where the sum of subsets over the sizes that occur becomes dearer than scanning lists.
-3. Heavy sets are found by inverted lists: a set is listed under the first shingles of an order in which frequent ones
-   come last, as many as one of them must be shared with any partner. Light sets that can have a heavy partner are
-   listed too. In each list, sorted by size, every set is tied to its predecessor if their sizes allow a link, so a
-   list of m sets gives m - 1 ties and never pairs. Lists of frequent shingles are cut into salted parts.
+3. Heavy sets are found by inverted lists: a set is listed under its first shingles in the order of their hashes, so many
+   that it has at least `wanted(n)` of them in common with any partner. Light sets that can have a heavy partner are
+   listed too. Shingles that no other set lists go, then sets with fewer than `wanted` left, then of each set the most
+   frequent shingles, one fewer than `wanted`: what all pairs must share is still there, common passages are not.
+   In each list, sorted by size, every set is tied to its predecessor if their sizes allow a link, so a list of m sets
+   gives m - 1 ties and never pairs. Lists of frequent shingles are cut into salted parts.
 4. Ties give candidate groups; links never leave a group. The sets of the groups are fetched once, and inside each
    group links are followed from set to set over inverted lists, until no unvisited set is left. Groups of more than
-   `GROUP_SHINGLES` are cut into blocks; each pair of blocks is one task, and their links are joined again.
+   `GROUP_SHINGLES` are cut into blocks by hash, twice in different ways; links inside blocks usually join the whole
+   group, which is then done. Only where they don't, each pair of blocks is worked on as well.
 
 Hashes have 64 bits, digests 128; ties and groups may contain too much, never too little.
 """
@@ -32,15 +35,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialogeval.llm import batches
-from dialogeval.llm.components import CELL_BITS, add_counts, cells_of, cells_used, components, count_batches
+from dialogeval.llm.components import CELL_BITS, add_counts, cells_of, cells_used, components, count_batches, forest
+from dialogeval.operators.joins import fits
 from dialogeval.sources import scratch
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 # No set beyond this size is ever light; the number of subsets grows fast.
 MOST_LIGHT = 16
-# A candidate group beyond this many shingles is worked on by pairs of blocks.
-GROUP_SHINGLES = 1 << 20
+# Share of a set that its list entries must have in common with a partner's: more entries, fewer candidates.
+COMMON_PERCENT = 10
+# A table of candidate groups up to this size is sent to all tasks.
+MAX_GROUP_BYTES = 16 << 20
+# A candidate group beyond this many shingles is worked on in blocks.
+GROUP_SHINGLES = 1 << 18
 # A shingle found in more sets than this has its list cut into parts.
 LIST_PART = 2048
 
@@ -117,9 +125,18 @@ def _subset_cost(n: int) -> int:
     return sum(comb(n, overlap_needed(n, b)) for b in range(smallest_partner(n), n * 100 // PERCENT + 1))
 
 
+def _common(n: int) -> int:
+    return max(1, -(-COMMON_PERCENT * n // 100))
+
+
 def _prefix(n: int) -> int:
     """Shingles under which a heavy set is listed."""
-    return n - smallest_partner(n) + 1
+    return min(n, n - smallest_partner(n) + _common(n))
+
+
+def wanted(n: int) -> int:
+    """Listed shingles that a heavy set has in common with any partner."""
+    return _common(smallest_partner(n))
 
 
 def light_boundary(sizes: dict[int, int]) -> int:
@@ -132,18 +149,16 @@ def light_boundary(sizes: dict[int, int]) -> int:
     return at
 
 
-def _ranks(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each cell the place of its shingles in the order, and the parts of their lists."""
+def _list_parts(counts: np.ndarray) -> np.ndarray:
+    """For each cell the parts that the lists of its shingles are cut into."""
     mean = counts.mean()
-    excess = np.maximum(counts - (mean + 6 * np.sqrt(mean) + 4), 0)
-    ranks = np.ceil(np.log2(excess + 1)).astype(np.uint8)
-    parts = np.minimum(np.ceil(excess / LIST_PART), 1 << 12).astype(np.uint16)
-    return ranks, np.maximum(parts, 1)
+    excess = np.maximum(counts - (mean + 6 * np.sqrt(mean)), 0)
+    return np.clip(np.ceil(excess / LIST_PART), 1, 1 << 12).astype(np.uint16)
 
 
 def _poster(shared, boundary: int):
     def post(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (ranks, parts), table, met = shared.value, batches.white_space_table(), set()
+        parts, table, met = shared.value, batches.white_space_table(), set()
         listed_from = smallest_partner(boundary + 1)
         for batch in stream:
             for _, _, data, offsets in batches.slices(batch.column(0)):
@@ -159,14 +174,9 @@ def _poster(shared, boundary: int):
                         found.append(_subset_keys(own))
                         cut.append(np.zeros(len(found[0]), np.int32))
                     if n >= listed_from:
-                        cells = cells_of(own)
-                        rank = ranks[cells]
-                        if rank.any():
-                            order = np.argsort(rank, kind="stable")[: _prefix(n)]
-                            own, cells = own[order], cells[order]
-                        own, cells = own[: _prefix(n)], cells[: _prefix(n)]
+                        own = own[: _prefix(n)]
                         found.append(own)
-                        many = parts[cells].astype(np.int64)
+                        many = parts[cells_of(own)].astype(np.int64)
                         cut.append(np.where(many > 1, 1 + (name & 0xFFFFFF) % many, 0).astype(np.int32))
                     size = sum(map(len, found))
                     keys += found
@@ -203,6 +213,29 @@ def _subset_keys(own: np.ndarray) -> np.ndarray:
     return np.concatenate(found)
 
 
+def _shared(postings: DataFrame, boundary: int) -> DataFrame:
+    """The entries that are left after the filters of step 3."""
+    window = Window.partitionBy("key", "salt").orderBy("class")
+    other = (F.lag("class").over(window) != F.col("class")) | (F.lead("class").over(window) != F.col("class"))
+    # The parts of a cut list know nothing of each other; its shingle is frequent anyway.
+    shared = postings.withColumn("other", other).where("other OR salt > 0").drop("other").distinct()
+    shared = scratch.through_table(shared, "shared")
+    smallest = F.ceil(F.col("size") * PERCENT / 100)
+    least = F.greatest(F.ceil(smallest * COMMON_PERCENT / 100), F.lit(1))
+    least = F.when(F.col("size") <= boundary, F.lit(1)).otherwise(least)
+    enough = shared.groupBy("class", "size").agg(F.count(F.lit(1)).alias("left")).where(F.col("left") >= least)
+    enough = scratch.through_table(enough.select("class"), "enough")
+    shared = scratch.through_table(shared.join(enough, "class", "left_semi"), "shared")
+    lists = shared.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    lists = scratch.through_table(lists, "lists")
+    rarest = Window.partitionBy("class").orderBy("sets", "key")
+    placed = shared.join(lists, "key").select("*", F.row_number().over(rarest).alias("place"))
+    left = F.count(F.lit(1)).over(Window.partitionBy("class"))
+    return placed.withColumn("left", left).where(F.col("place") <= F.col("left") - least + 1).select(
+        "key", "class", "size", "salt"
+    )
+
+
 def _ties(postings: DataFrame) -> DataFrame:
     """Neighbours of the sorted lists whose sizes allow a link; parts of one list are tied through a few of their sets."""
     window = Window.partitionBy("key", "salt").orderBy("size", "class")
@@ -216,6 +249,8 @@ def _ties(postings: DataFrame) -> DataFrame:
     rows = rows.select(
         "key", "class", "size", F.when(tie, F.col("prev")).alias("prev"), F.coalesce(stands, F.lit(False)).alias("stands")
     ).where("prev IS NOT NULL OR stands")
+    # Ties of one list and of the lists beside it become one tree for each set of sets that they connect.
+    rows = rows.mapInArrow(_trees, "class bigint, size int, prev bigint, key bigint, stands boolean")
     rows = scratch.through_table(rows, "ties")
     across = Window.partitionBy("key").orderBy("size", "class")
     parts = rows.where("stands").select(
@@ -223,9 +258,28 @@ def _ties(postings: DataFrame) -> DataFrame:
     )
     # Two sets that may link stand up to two steps apart from their stand-ins.
     parts = parts.where("prev <> class AND low * 10 >= size * 7")
-    return rows.where("prev IS NOT NULL").selectExpr("prev AS a", "class AS b").unionByName(
-        parts.selectExpr("prev AS a", "class AS b")
-    )
+    ties = rows.where("prev IS NOT NULL").selectExpr("prev AS a", "class AS b")
+    return ties.unionByName(parts.selectExpr("prev AS a", "class AS b"))
+
+
+def _trees(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_())
+    schema = pa.schema(list(zip(("class", "size", "prev", "key", "stands"), kinds, strict=True)))
+    pairs, stands = [], []
+    for batch in stream:
+        table = pa.Table.from_batches([batch]).select(schema.names)
+        stands.append(table.filter(table["stands"]))
+        tied = table.filter(table["prev"].is_valid())
+        pairs.append(np.stack([tied["prev"].to_numpy(), tied["class"].to_numpy()], 1))
+        if sum(map(len, pairs)) > 1 << 20:
+            pairs = [forest(np.concatenate(pairs))]
+    for table in stands:
+        none = pa.nulls(len(table), pa.int64())
+        yield from table.set_column(2, "prev", none).cast(schema).to_batches()
+    edges = forest(np.concatenate(pairs)) if pairs else np.zeros((0, 2), np.int64)
+    size = len(edges)
+    columns = [pa.array(edges[:, 1]), pa.nulls(size, pa.int32()), pa.array(edges[:, 0]), pa.nulls(size, pa.int64())]
+    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(size, bool))], schema=schema)
 
 
 def _fetcher(shared):
@@ -308,6 +362,12 @@ def _link_groups(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from links()
 
 
+def _links(tasks: DataFrame) -> DataFrame:
+    """Links (a, b) inside each task of rows (task, digest, shingles)."""
+    sorted_tasks = tasks.repartition("task").sortWithinPartitions("task")
+    return scratch.through_table(sorted_tasks.mapInArrow(_link_groups, _LINKS), "links")
+
+
 def jaccard_components(docs: DataFrame, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """One row per row of `docs` (doc_id, text): `n_shingles`, `component_id` and `class` (digest of the set, hex).
 
@@ -324,25 +384,39 @@ def jaccard_components(docs: DataFrame, group_shingles: int = GROUP_SHINGLES) ->
     small = sets.where(F.col("n_shingles").between(1, MOST_LIGHT)).groupBy("n_shingles").count().collect()
     boundary = light_boundary({row["n_shingles"]: row["count"] for row in small})
 
-    postings = source.select("text").mapInArrow(_poster(spark.sparkContext.broadcast(_ranks(counts)), boundary), _POSTINGS)
-    groups = components(_ties(postings)).selectExpr("node AS class", "component AS g")
+    postings = source.select("text").mapInArrow(
+        _poster(spark.sparkContext.broadcast(_list_parts(counts)), boundary), _POSTINGS
+    )
+    groups = components(_ties(_shared(postings, boundary))).selectExpr("node AS class", "component AS g")
     groups = scratch.through_table(groups, "groups")
-    wanted = spark.sparkContext.broadcast(cells_used(groups, "class"))
+    cells = spark.sparkContext.broadcast(cells_used(groups, "class"))
 
     sizes = groups.join(sets.groupBy("class").agg(F.max("n_shingles").alias("n")), "class")
     sizes = sizes.groupBy("g").agg(F.ceil(F.sum("n") / group_shingles).cast("int").alias("blocks"))
     sizes = scratch.through_table(groups.join(sizes, "g"), "groups")
-    found = source.select("text").mapInArrow(_fetcher(wanted), _SETS).join(sizes, "class")
-    # A group of one block is one task; in a larger one each set goes to the pairs of blocks that hold its own.
-    own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tasks = found.select("g", "digest", "shingles", own.alias("own"), other.alias("other")).select(
-        F.concat_ws(":", "g", F.least("own", "other"), F.greatest("own", "other")).alias("task"), "digest", "shingles"
-    )
-    tasks = tasks.repartition("task").sortWithinPartitions("task")
-    links = scratch.through_table(tasks.mapInArrow(_link_groups, _LINKS), "links")
+    few = F.broadcast(sizes) if fits(sizes, F.lit(40), MAX_GROUP_BYTES) else sizes
+    found = source.select("text").mapInArrow(_fetcher(cells), _SETS).join(few, "class")
+    found = scratch.through_table(found.select("g", "blocks", "digest", "shingles"), "found")
+    cut = F.explode(F.when(F.col("blocks") > 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0))))
+    block = F.pmod(F.xxhash64("digest", "cut"), F.col("blocks"))
+    tasks = found.withColumn("cut", cut).select(F.concat_ws(":", "g", "cut", block).alias("task"), "digest", "shingles")
+    links = _links(tasks)
     linked = components(links).selectExpr("node AS digest", "component AS leader")
 
+    # Groups in blocks that are still in several parts: every set goes to the pairs of blocks that hold its own.
+    name = F.lower(F.hex("digest")).alias("digest")
+    parts = found.where("blocks > 1").select("g", name).join(linked, "digest", "left")
+    leader = F.coalesce("leader", "digest")
+    open_groups = parts.groupBy("g").agg(F.min(leader).alias("low"), F.max(leader).alias("high")).where("low <> high")
+    open_groups = scratch.through_table(open_groups.select("g"), "open")
+    if open_groups.limit(1).count():
+        own = F.pmod(F.xxhash64("digest"), F.col("blocks"))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        pairs = found.join(open_groups, "g").select("g", "digest", "shingles", own.alias("own"), other.alias("other"))
+        pair = F.concat_ws(":", "g", F.least("own", "other"), F.greatest("own", "other"))
+        links = links.unionByName(_links(pairs.select(pair.alias("task"), "digest", "shingles")))
+        linked = components(links).selectExpr("node AS digest", "component AS leader")
+
     # The empty set links with nothing, not even with itself.
     empty = F.col("n_shingles") == 0
     placed = sets.join(linked, "digest", "left").select(
