@@ -10,6 +10,8 @@ minimum of a window then takes as many steps as its size has binary digits, each
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ BASE = 28_629_151
 
 _SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _LAST = (1 << 32) - 1
+# Stands for a NULL id in the order.
+_BEFORE_ALL = Decimal(-(1 << 63) - 1)
 
 
 def _least_with(step: int):
@@ -105,33 +109,32 @@ def fingerprints_with_edits(docs: DataFrame) -> DataFrame:
     with several rows is the one of the smallest text. No documents give no rows; a document alone follows itself.
     Other columns are ignored.
     """
-    smallest = F.lit(-(1 << 63))
-    source = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("bigint"), smallest).alias("o"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("n_chars", F.length("text").cast("bigint"))
-    ring = _ring(source.groupBy("o").agg(F.max("n_chars").alias("n")))
+    # One column for order and id, so that both readers of the shuffled texts need the same two columns and share it.
+    order = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(_BEFORE_ALL).cast("decimal(20,0)"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    source = docs.select(order.alias("o"), text.alias("text"))
+    ring = _ring(source.groupBy("o").agg(F.max(F.length("text")).alias("n")))
     # What the document `o` gives: so many code points, to the document `to`.
     gives = scratch.through_table(ring.select(F.col("next").alias("o"), F.col("o").alias("to"), "n"), "ring")
 
-    marked = with_fingerprint(source, "text", "own").repartition("o")
+    placed = source.repartition("o")
     prefix = F.substring("text", F.lit(1), F.floor(F.col("n") / 3).cast("int"))
-    given = marked.join(gives, "o").select("to", prefix.alias("prefix"), gram_hashes(F.col("own")).alias("hashes"))
+    given = with_fingerprint(placed.join(gives, "o"), "text", "own")
+    given = given.select("to", prefix.alias("prefix"), gram_hashes(F.col("own")).alias("hashes"))
     given = given.repartition("to").groupBy("to").agg(F.min(F.struct("prefix", "hashes")).alias("next"))
-    both = marked.join(given, F.col("o") == F.col("to"))
+    both = placed.join(given, F.col("o") == F.col("to")).withColumn("n_chars", F.length("text").cast("bigint"))
     kept = F.col("n_chars") - F.floor(F.col("n_chars") / 3)
     more = F.substring("next.prefix", F.lit(1), (F.col("n_chars") - kept).cast("int"))
-    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), kept.cast("int")), more)).select(
-        "doc_id", "n_chars", "edited", "own", F.col("next.hashes").alias("hashes")
-    )
-    both = with_fingerprint(both, "edited", "new").withColumn("own_hashes", gram_hashes(F.col("own")))
+    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), kept.cast("int")), more))
+    both = with_fingerprint(with_fingerprint(both, "text", "own"), "edited", "new")
+    both = both.withColumn("own_hashes", gram_hashes(F.col("own"))).withColumn("new_hashes", gram_hashes(F.col("new")))
+    doc_id = F.when(F.col("o") > F.lit(_BEFORE_ALL), F.col("o")).cast("bigint")
     return both.select(
-        "doc_id",
+        doc_id.alias("doc_id"),
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("own")).alias("fingerprint"),
         as_text(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("own_hashes"), gram_hashes(F.col("new"))).alias("near_edited"),
-        likeness(F.col("own_hashes"), F.col("hashes")).alias("near_next"),
+        likeness(F.col("own_hashes"), F.col("new_hashes")).alias("near_edited"),
+        likeness(F.col("own_hashes"), F.col("next.hashes")).alias("near_next"),
     )
