@@ -11,7 +11,7 @@ A row never turns into word pairs: similarities of one row are a small matrix pr
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,9 +21,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from dialogeval.functions import text
 from dialogeval.operators.joins import fits, salted_join
+from dialogeval.sources import scratch
 
 # A vector table up to this size is shipped to the workers once; a larger one is joined.
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_BROADCAST_BYTES = 32 * 1024 * 1024
 SCORES = ["bert_precision", "bert_recall", "bert_f1"]
 RESULT = StructType([StructField(name, DoubleType()) for name in SCORES])
 # Rows of the similarity matrix computed at a time; bounds memory for very long texts.
@@ -59,19 +60,20 @@ def bert_score(
     vectors: DataFrame,
     output_col: str = "model_output",
     reference_col: str = "summary",
-    keys: Sequence[str] = ("dialog_id", "model"),
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add `bert_precision`, `bert_recall`, `bert_f1`; NULL where a text is missing.
 
     The size of the vector table is measured first (one small aggregate). Up to `max_broadcast_bytes` its
-    vectors go to the workers and scoring needs no shuffle; beyond it words are joined to their vectors.
-    `keys` identify a row.
+    vectors go to the workers and scoring needs no shuffle; beyond it words are joined to their vectors. Rows need
+    no key. A token listed several times has the smallest of its vectors; a vector with a NaN is none.
     """
+    whole = F.col("token").isNotNull() & F.col("embedding").isNotNull() & ~F.exists("embedding", F.isnan)
+    vectors = vectors.where(whole).groupBy("token").agg(F.min("embedding").alias("embedding"))
     row_bytes = F.coalesce(F.size("embedding"), F.lit(0)) * 8 + F.octet_length("token") + 48
     if fits(vectors, row_bytes, max_broadcast_bytes):
         return _score_with_shipped_vectors(df, vectors, output_col, reference_col)
-    return _score_with_joined_vectors(df, vectors, output_col, reference_col, list(keys))
+    return _score_with_joined_vectors(df, vectors, output_col, reference_col)
 
 
 def _finish(df: DataFrame, score: Column, output_col: str, reference_col: str) -> DataFrame:
@@ -85,7 +87,7 @@ def _finish(df: DataFrame, score: Column, output_col: str, reference_col: str) -
 def _score_with_shipped_vectors(
     df: DataFrame, vectors: DataFrame, output_col: str, reference_col: str
 ) -> DataFrame:
-    table = vectors.where(F.col("embedding").isNotNull()).select("token", "embedding").toPandas()
+    table = vectors.select("token", "embedding").toPandas()
     matrix = np.array(table["embedding"].tolist(), dtype="float64") if len(table) else np.empty((0, 1))
     place = {token: i for i, token in enumerate(table["token"])}
     shipped = df.sparkSession.sparkContext.broadcast((place, unit_rows(matrix)))
@@ -121,25 +123,26 @@ def _score_collected(said: pd.Series, given: pd.Series) -> pd.DataFrame:
 
 
 def _score_with_joined_vectors(
-    df: DataFrame, vectors: DataFrame, output_col: str, reference_col: str, keys: list[str]
+    df: DataFrame, vectors: DataFrame, output_col: str, reference_col: str
 ) -> DataFrame:
-    """Words are counted per row before anything is shuffled; a frequent word is a hot join key and is
+    """Every row is stored under a number of its own, which no column can clash with. Words are counted per row before anything is shuffled; a frequent word is a hot join key and is
     salted. Only the words of one row come together again."""
 
     def side(column: str, said: bool) -> Column:
         split = F.split(F.coalesce(text.words(F.col(column)), F.lit("")), " ")
         return F.transform(split, lambda w: F.struct(F.lit(said).alias("said"), w.alias("token")))
 
+    keys = ["_row"]
+    rows = scratch.through_table(df.withColumn("_row", F.monotonically_increasing_id()), "scored_rows")
     both = F.concat(side(output_col, True), side(reference_col, False))
-    words = df.select(*keys, F.explode(both).alias("word")).select(*keys, "word.*")
+    words = rows.select(*keys, F.explode(both).alias("word")).select(*keys, "word.*")
     counted = words.where("token <> ''").groupBy(*keys, "said", "token").agg(F.count(F.lit(1)).alias("n"))
-    table = vectors.where(F.col("embedding").isNotNull()).select("token", "embedding")
-    known = salted_join(counted, table, "token", [*keys, "said"])
+    known = salted_join(counted, vectors, "token", [*keys, "said"])
     word = F.struct("n", "embedding")
-    rows = known.groupBy(*keys).agg(
+    sides = known.groupBy(*keys).agg(
         F.collect_list(F.when(F.col("said"), word)).alias("_said"),
         F.collect_list(F.when(~F.col("said"), word)).alias("_given"),
     )
-    scored = rows.select(*keys, _score_collected("_said", "_given").alias("_found"))
-    joined = df.join(scored, keys, "left")
+    scored = sides.select(*keys, _score_collected("_said", "_given").alias("_found"))
+    joined = rows.join(scored, keys, "left")
     return _finish(joined, F.col("_found"), output_col, reference_col).select(*df.columns, *SCORES)

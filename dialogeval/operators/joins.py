@@ -17,12 +17,26 @@ from dialogeval.sources import scratch
 
 # A lookup table up to this size is broadcast.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# Most frequent keys looked at, and counters of the sketch that finds them.
-TOP_KEYS, TRACKED_KEYS = 1_000, 16_384
+# Counters of the sketch that finds frequent keys: at least, and at most as the sketch allows.
+TRACKED_KEYS, MOST_TRACKED_KEYS = 16_384, 1_000_000
 
 _HASH, _SALT, _SALTS = "_key_hash", "_salt", "_salts"
 
 
+def row_size(df: DataFrame) -> Column:
+    """Bytes of all columns of a row, about."""
+    size = F.lit(0)
+    for field in df.schema.fields:
+        kind, column = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(column), F.lit(0))
+        elif kind in ("array", "map", "struct"):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+        else:
+            size = size + F.lit(8)
+    return size
+
+
 def fits(df: DataFrame, row_bytes: Column, max_bytes: int) -> bool:
     """Measure a table: is the sum of `row_bytes` within the limit? One aggregate over those columns."""
     if max_bytes <= 0:
@@ -39,8 +53,11 @@ def lookup_join(
     row_bytes: Column | None = None,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner join of many `rows` to a `table` with one row per `key`; `row_id` names a unique row."""
-    width = F.octet_length(key) if row_bytes is None else row_bytes
+    """Inner join of many `rows` to a `table` with one row per `key`; `row_id` names a unique row.
+
+    All columns of `table` are measured unless `row_bytes` says what a row takes.
+    """
+    width = row_size(table) if row_bytes is None else row_bytes
     if fits(table, width, max_broadcast_bytes):
         return rows.join(F.broadcast(table), key)
     return salted_join(rows, table, key, row_id)
@@ -50,15 +67,18 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, row_id: Sequence[st
     """Inner shuffle join in which frequent keys are divided.
 
     A sketch over `rows` finds the frequent keys. Rows of such a key are spread over as many salts as the
-    key has average partitions of rows, and its one row in `table` is copied once per salt. The list of
-    frequent keys has at most TOP_KEYS entries, so it can be broadcast; it is stored first, because a sketch
+    key has average partitions of rows, and its one row in `table` is copied once per salt. Only keys with more
+    rows than an average partition count as frequent, so there are fewer of them than partitions and their
+    list can be broadcast; it is stored first, because a sketch
     merged in another order may differ and both sides must use the same salts. The sketch only decides what
     is spread, never what matches.
     """
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(partitions, MOST_TRACKED_KEYS // 16)
+    tracked = max(TRACKED_KEYS, 16 * most)
     hashed = rows.withColumn(_HASH, F.xxhash64(key))
     top = hashed.agg(
-        F.expr(f"approx_top_k({_HASH}, {TOP_KEYS}, {TRACKED_KEYS})").alias("top"),
+        F.expr(f"approx_top_k({_HASH}, {most}, {tracked})").alias("top"),
         F.count(F.lit(1)).alias("total"),
     ).select(F.explode("top").alias("top"), "total")
     frequent = top.select(

@@ -35,7 +35,6 @@ def evaluate_outputs(
     input_col: str = "summary",
     output_col: str = "model_output",
     reference_col: str = "summary",
-    keys: Sequence[str] = ("dialog_id", "model"),
     types: Sequence[str] = K.ENTITY_TYPES,
     stem: bool = True,
 ) -> DataFrame:
@@ -45,7 +44,7 @@ def evaluate_outputs(
     row-local, and so is entity tagging with a gazetteer that fits.
     """
     scored = rouge.rouge_l(outputs, output_col, reference_col, stem)
-    scored = bertscore.bert_score(scored, vectors, output_col, reference_col, keys)
+    scored = bertscore.bert_score(scored, vectors, output_col, reference_col)
     return entities.entity_scores(scored, gazetteer, input_col, output_col, types)
 
 

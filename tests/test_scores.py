@@ -150,3 +150,16 @@ def test_blocks_do_not_change_the_match():
     p, r, _ = bertscore.greedy_match(said, np.ones(2500), given_rows, np.ones(40))
     assert p == pytest.approx(similarity.max(axis=1).mean())
     assert r == pytest.approx(similarity.max(axis=0).mean())
+
+
+def test_both_paths_agree_on_repeated_rows_tokens_and_missing_keys(spark):
+    listed = [("sun", [1.0, 0.0]), ("sun", [0.0, 1.0]), ("moon", [0.6, 0.8]), ("odd", [float("nan"), 1.0]), (None, [1.0, 1.0])]
+    vectors = spark.createDataFrame(listed, "token string, embedding array<float>")
+    rows = [("1", "m", "sun moon", "moon"), ("1", "m", "sun", "moon sun"), ("1", None, "moon", "moon odd"), (None, None, "odd", "sun")]
+    df = spark.createDataFrame(rows, "dialog_id string, model string, summary string, model_output string")
+    found = []
+    for limit in (bertscore.MAX_BROADCAST_BYTES, 0):
+        scored = bertscore.bert_score(df, vectors, max_broadcast_bytes=limit).collect()
+        found.append(sorted((str(r.dialog_id), str(r.model), r.summary, *(round(r[s], 6) for s in bertscore.SCORES)) for r in scored))
+    assert found[0] == found[1] and len(found[0]) == 4
+    assert {r[2]: r[-1] for r in found[0]}["odd"] == 0.0 and {r[2]: r[-1] for r in found[0]}["moon"] == 1.0
