@@ -16,7 +16,7 @@ def units(text):
         if len(words) >= sub.LINE_WORDS:
             yield (1, tuple(words)), at, at + len(line)
         first = [i for i in range(len(words)) if i == 0 or words[i - 1][-1] in ".!?"]
-        for i, j in zip(first, [*first[1:], len(words)], strict=True):
+        for i, j in zip(first, [*first[1:], len(words)][: len(first)], strict=True):
             if j - i >= sub.SENTENCE_WORDS and (i, j) != (0, len(words)):
                 yield (2, tuple(words[i:j])), at + spans[i][0], at + (spans[j][0] if j < len(words) else spans[-1][1])
         at += len(line)
