@@ -63,7 +63,12 @@ _MAIN_WORDS = frozenset("article content post entry story main maincontent artic
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>", re.S
 )
-_NAMES = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|(?=\s|/?\Z))", re.I)
+# One attribute with its value, or a quoted string without a name.
+_ATTRIBUTE = re.compile(
+    r"\"[^\"]*+\"?|'[^']*+'?|([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?"
+)
+# What may hold a semicolon or colon inside a value of a style.
+_STYLE_INNER = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*+\"|'[^']*+'|\([^)]*+\)", re.S)
 _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _RAW}
 
@@ -93,11 +98,10 @@ class _Open:
         self.main_tag |= tag in _MAIN_TAGS
         self.aside_tag |= tag in _ASIDE_TAGS or (tag == "header" and not self.main_tag)
         if attributes and tag not in ("body", "html"):
-            for name, value in _NAMES.findall(attributes):
-                name, value = name.lower(), value.strip("\"'")
-                if name in ("hidden", "aria-hidden") or (name == "style" and "none" in value):
-                    self.hidden |= value.lower() != "false"
-                elif name in ("class", "id", "role"):
+            attributes = _attributes(attributes)
+            self.hidden |= _hides(attributes)
+            for name, value in attributes.items():
+                if name in ("class", "id", "role"):
                     words = {w.lower() for w in _PARTS.findall(value)}
                     if words & _ASIDE_WORDS:
                         self.aside_word = True
@@ -105,6 +109,30 @@ class _Open:
                         self.main_word = True
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """Names and values of the attributes of a tag; of several of one name the first counts."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        if name:
+            out.setdefault(name.lower(), entities.unescape("".join(values)))
+    return out
+
+
+def _hides(attributes: dict[str, str]) -> bool:
+    """Whether an element of these attributes is not shown. Text to be unfolded (`until-found`) is text of the page."""
+    if attributes.get("hidden", "false").strip().lower() not in ("false", "until-found"):
+        return True
+    if attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    shown, important = "", False
+    for declaration in _STYLE_INNER.sub(" ", attributes.get("style", "")).lower().split(";"):
+        name, _, value = declaration.partition(":")
+        value, mark, _ = value.partition("!")
+        if name.strip() == "display" and (mark or not important):
+            shown, important = value.strip(), bool(mark)
+    return shown == "none"
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of text of a page, with character references decoded and white space joined."""
     out: list[Block] = []

@@ -53,6 +53,26 @@ def test_other_mark_up():
     assert h.main_text(OTHER, h.PRIOR)[0] == expected
 
 
+LONG = "This paragraph says what the page is about. It has several sentences of some words. They all belong to it."
+
+
+def test_harmless_attributes_hide_nothing():
+    for harmless in (
+        'style="max-width:none"', "style='list-style: none; border:none'", "style=text-decoration:none", 'title="The hidden cost"',
+        'title="a hidden b" class=x', "data-x=' style=\"display:none\" '", 'hidden="false"', 'aria-hidden="false"', 'data-hidden="1"',
+        'style="display:none;display:block"', "style=\"background:url('a;display:none')\"", 'alt="class=hidden" "hidden"',
+        'style="/* display:none; */ color:red"', 'data-style="display:none"', 'hidden="until-found"',
+    ):
+        page = f"<article><div {harmless}><p {harmless}>{LONG}</p></div></article>"
+        assert h.main_text(page, h.PRIOR)[0] == LONG, harmless
+    for hiding in (
+        "hidden", "HIDDEN=''", 'title="x"hidden', "aria-hidden=true", 'style="display:none"', "STYLE='color:red; Display : NONE !important'",
+        "style=display:none", 'style="display:none!important;display:block"', 'style="display:n&#111;ne"', "hidden /",
+    ):
+        page = f"<article><p>{LONG}</p><div {hiding}><p>Not {LONG}</p></div></article>"
+        assert h.main_text(page, h.PRIOR)[0] == LONG, hiding
+
+
 def test_edges(spark):
     rows = [(1, None, None), (1, None, None), (None, "u", ""), (3, "u", "<script>x"), (4, "u", "just words of a text < that & is >"),
             (5, "u", "<article><p>a&#65;&lt;b&gt;</article>"), (6, "u", "<div" * 3000), (7, "u", "<p>" + "long text. " * 50_000)]
