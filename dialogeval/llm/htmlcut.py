@@ -50,6 +50,8 @@ _CLOSES = {
 _PHRASE_ONLY = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
 _ASIDE_TAGS = frozenset("nav footer aside form menu dialog button select fieldset search label".split())
 _MAIN_TAGS = frozenset(("article", "main"))
+# Aside elements that may as well hold the whole page.
+_WRAPPER_TAGS = frozenset(("form", "fieldset"))
 # Words of class, id and role that name what a container is for.
 _ASIDE_WORDS = frozenset(
     "ad ads adv advert advertisement advertising adsense sponsor sponsored promo promotion banner sidebar side rail"
@@ -58,6 +60,7 @@ _ASIDE_WORDS = frozenset(
     " related recommended recommendations teaser comment comments commentlist disqus respond reply replies discussion"
     " reviews search pager pagination toolbar tags copyright legal disclaimer skip complementary contentinfo form".split()
 )
+_LAYOUT_WORDS = frozenset(("has", "with", "no", "without"))
 _MAIN_WORDS = frozenset("article content post entry story main maincontent articlebody body text prose".split())
 
 _TOKEN = re.compile(
@@ -73,9 +76,10 @@ _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _RAW}
 
 FEATURES = (
-    "bias", "aside_tag", "aside_word", "main_tag", "main_word", "words", "links", "sentences", "heading", "short", "sign"
+    "bias", "aside_tag", "aside_word", "main_tag", "main_word", "words", "links", "sentences", "heading", "short", "sign",
+    "outer_aside",
 )
-PRIOR = np.array([-0.5, -5.0, -5.0, 4.0, 2.0, 0.5, -3.0, 0.5, 0.3, -0.3, -1.0])
+PRIOR = np.array([-0.5, -5.0, -5.0, 4.0, 2.0, 0.5, -3.0, 0.5, 0.3, -0.3, -1.0, -1.0])
 # Weight of the prior against that of one block of the sample.
 PRIOR_WEIGHT = 0.002
 
@@ -87,26 +91,80 @@ class Block(NamedTuple):
 
 
 class _Open:
-    __slots__ = ("tag", "number", "aside_tag", "aside_word", "main_tag", "main_word", "hidden")
+    """An element and what its own tag, class, id and role say."""
+
+    __slots__ = ("tag", "number", "parent", "aside_word", "main_word", "hidden")
 
     def __init__(self, tag, number, parent, attributes):
-        self.tag, self.number = tag, number
-        self.aside_tag = self.aside_word = self.main_tag = self.main_word = self.hidden = False
-        if parent is not None:
-            self.aside_tag, self.aside_word = parent.aside_tag, parent.aside_word
-            self.main_tag, self.main_word, self.hidden = parent.main_tag, parent.main_word, parent.hidden
-        self.main_tag |= tag in _MAIN_TAGS
-        self.aside_tag |= tag in _ASIDE_TAGS or (tag == "header" and not self.main_tag)
+        self.tag, self.number, self.parent = tag, number, parent.number if parent else 0
+        self.aside_word = self.main_word = False
+        self.hidden = parent.hidden if parent else False
         if attributes and tag not in ("body", "html"):
             attributes = _attributes(attributes)
             self.hidden |= _hides(attributes)
-            for name, value in attributes.items():
-                if name in ("class", "id", "role"):
-                    words = {w.lower() for w in _PARTS.findall(value)}
-                    if words & _ASIDE_WORDS:
-                        self.aside_word = True
-                    elif words & _MAIN_WORDS:
-                        self.main_word = True
+            named = " ".join(attributes.get(name, "") for name in ("class", "id", "role"))
+            parts = [[w.lower() for w in _PARTS.findall(token)] for token in named.split()]
+            # A name such as has-sidebar tells the layout around an element.
+            parts = [set(words) for words in parts if words and words[0] not in _LAYOUT_WORDS]
+            self.aside_word = any(words & _ASIDE_WORDS for words in parts)
+            self.main_word = any(words & _MAIN_WORDS and not words & _ASIDE_WORDS for words in parts)
+            if tag == "main" or tag == "article" and self.main_word:
+                self.aside_word = False
+            self.main_word &= not self.aside_word
+
+
+class _Place(NamedTuple):
+    """What an element and its ancestors say: the nearest of aside and main ancestors decides.
+
+    `outer` is the distance from an article or main to the nearest aside ancestor around it, 0 without one.
+    """
+
+    aside_tag: bool = False
+    aside_word: bool = False
+    main_tag: bool = False
+    main_word: bool = False
+    depth: int = 0
+    aside_depth: int = 0
+    outer: int = 0
+
+
+def _places(opened: list[_Open], wrappers: frozenset[int] = frozenset()) -> list[_Place]:
+    """The place of every element; `wrappers` are no aside elements."""
+    out = [_Place()]
+    for e in opened[1:]:
+        up = out[e.parent]
+        aside_tag, aside_word, main_tag, main_word, depth, aside_depth, outer = up
+        depth += 1
+        if e.tag in _MAIN_TAGS:
+            if aside_tag or aside_word:
+                outer = depth - aside_depth
+            aside_tag, aside_word, main_tag = False, False, True
+        if e.number not in wrappers:
+            own_tag = e.tag in _ASIDE_TAGS or (e.tag == "header" and not main_tag)
+            if own_tag or e.aside_word:
+                aside_tag, aside_word, aside_depth = aside_tag or own_tag, aside_word or e.aside_word, depth
+        out.append(_Place(aside_tag, aside_word, main_tag, main_word or e.main_word, depth, aside_depth, outer))
+    return out
+
+
+def _wrappers(opened: list[_Open], places: list[_Place], found: list[tuple[str, int, int]]) -> frozenset[int]:
+    """Forms and elements of aside words that hold most of the page, with no main text or h1 beside them."""
+    chars, telling = [0] * len(opened), [0] * len(opened)
+    for text, _, number in found:
+        place = places[number]
+        chars[number] += len(text)
+        if not place.aside_tag and not place.aside_word:
+            telling[number] += place.main_tag or place.main_word or opened[number].tag == "h1"
+    for e in reversed(opened[1:]):
+        chars[e.parent] += chars[e.number]
+        telling[e.parent] += telling[e.number]
+    return frozenset(
+        e.number
+        for e in opened[1:]
+        if (e.tag in _WRAPPER_TAGS or (e.aside_word and e.tag not in _ASIDE_TAGS and e.tag not in _MAIN_TAGS))
+        and 2 * chars[e.number] > chars[0]
+        and telling[e.number] == telling[0]
+    )
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -135,8 +193,9 @@ def _hides(attributes: dict[str, str]) -> bool:
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of text of a page, with character references decoded and white space joined."""
-    out: list[Block] = []
-    numbers, stack = 1, [_Open("", 0, None, "")]
+    out: list[tuple[str, int, int]] = []
+    stack = [_Open("", 0, None, "")]
+    opened = stack[:]
     pieces: list[str] = []
     linked: list[str] = []
     in_link = False
@@ -145,7 +204,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal in_link
         text = " ".join("".join(pieces).split()) if pieces else ""
         if text and not stack[-1].hidden:
-            out.append(_block(text, sum(len(x.strip()) for x in linked), stack[-1]))
+            out.append((text, sum(len(x.strip()) for x in linked), stack[-1].number))
         pieces.clear()
         linked.clear()
         in_link = False
@@ -192,27 +251,32 @@ def blocks_of(page: str) -> list[Block]:
             while len(stack) > 1 and (stack[-1].tag in _PHRASE_ONLY or stack[-1].tag in ends):
                 stack.pop()
             if tag not in _VOID:
-                stack.append(_Open(tag, numbers, stack[-1], attributes))
-                numbers += 1
+                stack.append(_Open(tag, len(opened), stack[-1], attributes))
+                opened.append(stack[-1])
     flush()
-    return out
+    places = _places(opened)
+    wrappers = _wrappers(opened, places, out)
+    if wrappers:
+        places = _places(opened, wrappers)
+    return [_block(text, link_chars, opened[number], places[number]) for text, link_chars, number in out]
 
 
-def _block(text: str, link_chars: int, top: _Open) -> Block:
+def _block(text: str, link_chars: int, top: _Open, place: _Place) -> Block:
     words = text.count(" ") + 1
     sentences = text.count(". ") + text.count("! ") + text.count("? ") + (text[-1] in ".!?")
     features = (
         1.0,
-        float(top.aside_tag),
-        float(top.aside_word),
-        float(top.main_tag and not top.aside_tag and not top.aside_word),
-        float(top.main_word and not top.aside_word),
+        float(place.aside_tag),
+        float(place.aside_word),
+        float(place.main_tag and not place.aside_tag and not place.aside_word),
+        float(place.main_word and not place.aside_word),
         min(words, 64) / 16,
         min(1.0, link_chars / len(text)),
         min(sentences, 4) / 2,
         float(top.tag in ("h1", "h2", "h3", "h4", "h5", "h6")),
         float(words < 4),
         float(text[0] in "©|»›•"),
+        1.0 / place.outer if place.outer else 0.0,
     )
     return Block(text, top.number, features)
 

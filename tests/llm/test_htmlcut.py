@@ -73,6 +73,30 @@ def test_harmless_attributes_hide_nothing():
         assert h.main_text(page, h.PRIOR)[0] == LONG, hiding
 
 
+def test_wrappers_of_the_whole_page(spark, sf_dir):
+    fitted = h.fit(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    paragraphs = [f"{i}. {LONG}" for i in range(4)]
+    plain = "".join(f"<p>{x}</p>" for x in paragraphs)
+    aside = "<nav><a href=/>Home</a></nav>", "<aside><p>Related things to read.</p></aside><footer>Legal words</footer>"
+    for weights in (h.PRIOR, fitted):
+        for inner in (f"<article>{plain}</article>", f"<main><div><div>{plain}</div></div></main>", f"<div>{plain}</div>"):
+            for wrapper in (
+                "<form action=x>{}</form>", '<div class="container has-sidebar">{}</div>', '<div id="search-page">{}</div>',
+                '<form><div class="sidebar-layout"><div>{}</div></div></form>', "<fieldset><form>{}</form></fieldset>",
+            ):
+                for page in (aside[0] + wrapper.format(inner) + aside[1], wrapper.format(aside[0] + inner + aside[1])):
+                    assert h.main_text(f"<body>{page}</body>", weights)[0] == "\n".join(paragraphs), page
+        # What is aside within the main text or beside it stays aside.
+        for extra in (
+            f"<form><p>{LONG}</p></form>", f"<div class=related><p>{LONG}</p></div>", f'<article class="comment-body"><p>{LONG}</p></article>',
+            f"<section id=comments>{plain}{plain}</section>", f"<footer><div><p>{LONG}</p></div></footer>",
+        ):
+            page = f"<form><article>{plain}{extra}</article></form>"
+            assert h.main_text(page, weights)[0] == "\n".join(paragraphs), page
+            page = f"<article>{plain}</article>{extra}"
+            assert h.main_text(page, weights)[0] == "\n".join(paragraphs), page
+
+
 def test_edges(spark):
     rows = [(1, None, None), (1, None, None), (None, "u", ""), (3, "u", "<script>x"), (4, "u", "just words of a text < that & is >"),
             (5, "u", "<article><p>a&#65;&lt;b&gt;</article>"), (6, "u", "<div" * 3000), (7, "u", "<p>" + "long text. " * 50_000)]
