@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from dialogeval.llm import (
@@ -13,7 +14,10 @@ from dialogeval.llm import (
     htmlcut,
     jaccard,
     licenses,
+    manifest,
+    minhash,
     mixing,
+    periodic,
     secrets,
     substrings,
     toxicity,
@@ -70,6 +74,46 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return htmlcut.extract(_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    # Some texts are made periodic from a word on, as their ids say.
+    h = F.crc32(F.col("doc_id").cast("string"))
+    docs = _table(spark, folder, "documents").select("doc_id", "text", F.floor(h / 10).alias("g"), (h % 10 == 0).alias("planted"))
+    words = F.when(F.col("planted"), F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0)))
+    docs = docs.withColumn("words", words).withColumn("n", F.size("words"))
+    docs = docs.withColumn("begin", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = 1 + F.floor((F.col("n") - F.col("begin")) / (3 + F.col("g") % 8)).cast("bigint")
+    repeated = F.transform(
+        "words", lambda w, i: F.when(i < F.col("begin"), w).otherwise(F.get("words", (F.col("begin") + (i - F.col("begin")) % period).cast("int")))
+    )
+    text = F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text"))
+    rows = periodic.periodic_runs(docs.select("doc_id", text.alias("text")))
+    best, line = F.col("best"), lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = manifest.manifest(_table(spark, folder, "documents"), tampered)
+    digest = manifest.proof_digest(F.col("proof")).alias("proof_sha256")
+    return rows.select("doc_id", "leaf", "subroot", "root", digest, "folded_root", "verified")
+
+
+def op13_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    placed = minhash.minhash_components(_table(spark, folder, "documents"))
+    return placed.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -81,5 +125,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_warc": op9_warc,
     "op10_html_extraction": op10_html_extraction,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_minhash_dedup": op13_minhash_dedup,
     "pipeline": corpus_pipeline.run,
 }
