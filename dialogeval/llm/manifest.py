@@ -170,6 +170,8 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> DataFrame:
     leaf = leaf_of(own)
     other = leaf if changed is None else F.when(text.eqNullSafe(F.col("text")), leaf).otherwise(leaf_of({**own, "text": text}))
     rows = plain.select("doc_id", tree.alias("tree"), leaf.alias("hash"), other.alias("changed"))
+    # The sort reads its input twice: to find its ranges, and to deal it. Texts are read and hashed once.
+    rows = scratch.through_table(rows, "digests")
     leaves = scratch.through_table(ranked(rows, "tree", ["doc_id", "hash"]), "leaves")
     proofs, subroots = trees(leaves, _most(leaves))
 
