@@ -4,12 +4,15 @@
    `HASHES` universal hash functions (a * x + b modulo 2**64, the high bits), the smallest value over the set.
 2. `ROWS` minima are a band, and sets that agree in a band share a bucket. A pair of similarity 0.85 shares no bucket with
    probability (1 - 0.85 ** 4) ** 32, about 5e-11.
-3. In each bucket a few sets are pivots and meet the others: pairs are never formed among all. A pair goes on if its
+3. In each bucket one set is the pivot and meets the others: pairs are never formed among all. A pair goes on if its
    signatures agree in as many minima as a link leaves room for, and is a link if its full sets say so.
 4. Links give components by alternating large-star and small-star. Pairs inside a component need no test, so the bands
-   are taken a few at a time: the first one joins most copies, and the buckets of the next ones that lie in one component
-   go. The buckets left over are worked on with ever more pivots, outside the bucket's most common component, until every
-   pair of two components in a bucket has been tested. No bucket is capped.
+   join a few at a time: the first one ties most copies, and the buckets of the next ones that lie in one component go.
+5. The buckets that still hold several components are cut into blocks of `BLOCK_SHINGLES`. A task takes the full sets of
+   a block and asks for the links of those outside of its most common component, over inverted lists; it returns the links
+   that join components, not pairs. Where a bucket has several blocks, the sets that are outside of the bucket's most
+   common component after that are sent to its other blocks. So every pair of a bucket was tested or lies in one
+   component, whatever the bucket's size.
 
 What is common to a bucket is counted and chosen by aggregates that combine on the map side; joins are between stored
 tables, whose frequent keys adaptive execution splits.
@@ -36,8 +39,8 @@ ROWS = 4
 BANDS = HASHES // ROWS
 # Bands that join in each round.
 ROUNDS = (1, 3, BANDS - 4)
-# Pivots of a bucket grow by this factor from round to round once all bands have joined.
-MORE_PIVOTS = 4
+# Full sets that a task holds at a time have so many shingles, or are one set.
+BLOCK_SHINGLES = 1 << 17
 # Standard deviations below the expected agreement at which a pair of signatures is given up.
 DEVIATIONS = 7.0
 
@@ -256,54 +259,135 @@ def _open(members: DataFrame) -> DataFrame:
     return sizes.groupBy("band", "key").agg(F.count(F.lit(1)).alias("labels"), first.alias("common")).where("labels > 1").drop("labels")
 
 
-def _link_rounds(buckets: DataFrame, signed: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Labels (class, label) of all sets that link, from all buckets (band, key, class, size)."""
-    labels, done, left, pivots, least = None, 0, None, 1, least_agreement(percent)
-    number = 0
-    while True:
-        if number < len(ROUNDS):
-            fresh = buckets.where(F.col("band").between(done, done + ROUNDS[number] - 1)).withColumn("used", F.lit(False))
-            done += ROUNDS[number]
-            left = fresh if left is None else left.unionByName(fresh)
-        else:
-            pivots *= MORE_PIVOTS
-        number += 1
+def _forest_links(names: list[int], labels: list[int], sets: list[np.ndarray], asks: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (a, b) that join all labels which links of the asking sets join."""
+    _, label = np.unique(labels, return_inverse=True)
+    sizes = np.array([len(x) for x in sets])
+    _, element = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)[np.argsort(element, kind="stable")]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(element))])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    found = []
+    # Links inside the most common component are of no use, so only the others ask.
+    common = np.bincount(label).argmax()
+    for x in np.flatnonzero(asks & (label != common)).tolist():
+        own = element[bounds[x] : bounds[x + 1]]
+        lengths = starts[own + 1] - starts[own]
+        at = np.repeat(starts[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        shared = np.bincount(owner[at], minlength=len(sets))
+        linked = np.flatnonzero((100 * shared >= percent * (sizes[x] + sizes - shared)) & (label != label[x]))
+        for y in linked.tolist():
+            if label[y] != label[x]:
+                found.append((names[x], names[y]))
+                label[label == label[x]] = label[y]
+    return found
+
+
+def _block_linker(percent: int):
+    """Rows (unit, class, label, asks, shingles), sorted by unit, to links (a, b)."""
+
+    def links(unit: list) -> Iterator[pa.RecordBatch]:
+        names, labels, asks, packed = zip(*unit, strict=True)
+        if len(set(labels)) > 1:
+            sets = [np.frombuffer(p, np.uint64) for p in packed]
+            found = _forest_links(names, labels, sets, np.array(asks), percent)
+            if found:
+                yield batches.record_batch(found, "a bigint, b bigint")
+
+    def link(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, unit = None, []
+        for batch in stream:
+            for name, *row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if name != at and unit:
+                    yield from links(unit)
+                    unit = []
+                at = name
+                unit.append(row)
+        if unit:
+            yield from links(unit)
+
+    return link
+
+
+def _unit_links(units: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) inside the units of rows (unit, class, label, asks)."""
+    rows = units.join(sets, "class").select("unit", "class", "label", "asks", "shingles")
+    found = rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(_block_linker(percent), "a bigint, b bigint")
+    return scratch.through_table(found.selectExpr("a AS u", "b AS v"), "links")
+
+
+def _further(labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """Labels after more links (u, v)."""
+    if not links.limit(1).count():
+        return labels
+    return star_components(links if labels is None else links.unionByName(labels.selectExpr("class AS u", "label AS v")))
+
+
+def _in_blocks(left: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int, block_shingles: int) -> DataFrame | None:
+    """Labels after the links of all pairs in the buckets `left` (band, key, class, size)."""
+    unit = F.xxhash64("band", "key", "block").alias("unit")
+    members = scratch.through_table(_members(left, labels), "members")
+    sizes = members.groupBy("band", "key").agg(F.ceil(F.sum("size") / block_shingles).cast("int").alias("blocks"))
+    sizes = sizes.join(_open(members), ["band", "key"]).select("band", "key", "blocks")
+    members = members.join(scratch.through_table(sizes, "open"), ["band", "key"])
+    members = members.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    members = scratch.through_table(members, "blocks")
+    if not members.limit(1).count():
+        return labels
+    labels = _further(labels, _unit_links(members.select(unit, "class", "label", F.lit(True).alias("asks")), sets, percent))
+
+    members = scratch.through_table(_members(members.where("blocks > 1").drop("label"), labels), "members")
+    members = scratch.through_table(members.join(_open(members), ["band", "key"]), "open")
+    if not members.limit(1).count():
+        return labels
+    asking = members.where("label <> common")
+    parts = asking.groupBy("band", "key").agg(F.ceil(F.sum("size") / block_shingles).cast("int").alias("parts"))
+    parts = scratch.through_table(parts, "parts")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    part = F.pmod(F.xxhash64("class", F.lit(1)), F.col("parts")).cast("int")
+    columns = ["band", "key", "class", "label"]
+    sent = asking.join(parts, ["band", "key"]).select(*columns, other, part.alias("part"), F.lit(True).alias("asks"))
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    there = members.join(parts, ["band", "key"]).select(*columns, "block", part, F.lit(False).alias("asks"))
+    # A set that asks in its own block is there twice, under one label.
+    units = sent.unionByName(there).select(F.xxhash64("band", "key", "block", "part").alias("unit"), "class", "label", "asks")
+    return _further(labels, _unit_links(units, sets, percent))
+
+
+def _link_rounds(
+    buckets: DataFrame, signed: DataFrame, sets: DataFrame, percent: int, block_shingles: int
+) -> DataFrame | None:
+    """Labels (class, label) of all sets that link, from all buckets (band, key, class, size); None if none does."""
+    labels, done, left, least = None, 0, None, least_agreement(percent)
+    for count in ROUNDS:
+        fresh = buckets.where(F.col("band").between(done, done + count - 1))
+        done += count
+        left = fresh if left is None else left.unionByName(fresh)
         members = scratch.through_table(_members(left, labels), "members")
-        # Pairs of two sets of the most common component need no test, so pivots come from outside of it. A pivot of an
-        # earlier round has met everybody.
         outside = members.join(scratch.through_table(_open(members), "open"), ["band", "key"])
         outside = scratch.through_table(outside, "outside")
-        salt = F.pmod(F.xxhash64("class", "band", F.lit(number)), F.lit(pivots))
-        chosen = outside.where("label <> common AND NOT used").groupBy("band", "key", salt.alias("salt"))
+        # Two sets of the most common component need no test, so the pivot comes from outside of it.
+        chosen = outside.where("label <> common").groupBy("band", "key")
         chosen = chosen.agg(F.min(F.struct(F.xxhash64("class", "key").alias("h"), "class", "size", "label")).alias("p"))
-        chosen = scratch.through_table(
-            chosen.select("band", "key", F.col("p.class").alias("pivot"), F.col("p.size").alias("p_size"), F.col("p.label").alias("p_label")),
-            "pivots",
+        chosen = chosen.select(
+            "band", "key", F.col("p.class").alias("pivot"), F.col("p.size").alias("p_size"), F.col("p.label").alias("p_label")
         )
-        if not chosen.limit(1).count():
-            if number < len(ROUNDS):
-                left = None
-                continue
-            return labels
+        chosen = scratch.through_table(chosen, "pivots")
+        met = scratch.through_table(outside.join(chosen, ["band", "key"]), "met")
         near = F.least("size", "p_size") * 100 >= F.greatest("size", "p_size") * percent
-        pairs = outside.join(chosen, ["band", "key"]).where((F.col("label") != F.col("p_label")) & near)
-        # Pivots that meet each other do so once; a pair may meet in several buckets.
+        pairs = met.where((F.col("label") != F.col("p_label")) & near)
         pairs = pairs.select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct()
         pairs = scratch.through_table(pairs, "pairs")
         alike = _with_both(pairs, signed, "signature").mapInArrow(_agreeing(least), "a bigint, b bigint")
         alike = scratch.through_table(alike, "alike")
         links = _with_both(alike, sets, "shingles").mapInArrow(_linked(percent), "a bigint, b bigint")
-        links = scratch.through_table(links.selectExpr("a AS u", "b AS v"), "links")
-        if links.limit(1).count():
-            known = links if labels is None else links.unionByName(labels.selectExpr("class AS u", "label AS v"))
-            labels = star_components(known)
-        used = chosen.select("band", "key", F.col("pivot").alias("class"), F.lit(True).alias("met"))
-        # A bucket without another pivot is done.
-        left = outside.join(chosen, ["band", "key"], "left_semi").join(used, ["band", "key", "class"], "left")
-        left = left.select("band", "key", "class", "size", (F.col("used") | F.col("met").isNotNull()).alias("used"))
+        labels = _further(labels, scratch.through_table(links.selectExpr("a AS u", "b AS v"), "links"))
+        # The pivot has met everybody.
+        left = met.where("class <> pivot").select("band", "key", "class", "size")
+    return _in_blocks(left, labels, sets, percent, block_shingles)
 
 
-def minhash_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def minhash_components(docs: DataFrame, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row per row of `docs` (doc_id, text): `n_shingles`, `component_id`, `kept` and `class` (digest of the set, hex).
 
     Sets whose intersection is at least `percent` percent of their union link. A text of fewer than five words is its only
@@ -339,7 +423,7 @@ def minhash_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = source.select("text", "text_key").mapInArrow(_fetcher(cells), _FOUND).select(digest, "shingles")
     sets = sets.join(wanted.select("class", "digest"), "digest").groupBy("class").agg(F.first("shingles").alias("shingles"))
     sets = scratch.through_table(sets, "shingles")
-    labels = _link_rounds(buckets, wanted.select("class", "signature"), sets, percent)
+    labels = _link_rounds(buckets, wanted.select("class", "signature"), sets, percent, block_shingles)
 
     placed = first.select("doc_id", "n_shingles", digest)
     if labels is None:

@@ -69,7 +69,7 @@ def test_pairs_at_the_limit(docs_of):
 
 
 def test_a_bucket_of_many_components(docs_of):
-    """Sets around one base, mostly too far apart to link: pivots must go through all of them."""
+    """Sets around one base, mostly too far apart to link, in one block and in several."""
     rng = random.Random(6)
     base, texts = [f"w{i}" for i in range(300)], []
     for i in range(70):
@@ -85,6 +85,16 @@ def test_a_bucket_of_many_components(docs_of):
         sizes[component] += 1
     assert len(sizes) > 5 and max(sizes.values()) > 5
     assert found(minhash.minhash_components(docs_of(*texts))) == want
+    assert found(minhash.minhash_components(docs_of(*texts), block_shingles=2000)) == want
+
+
+def test_links_of_a_block():
+    sets = [np.arange(a, a + 40, dtype=np.uint64) for a in (0, 2, 4, 6, 100, 101, 300)]
+    names, labels = [10, 11, 12, 13, 14, 15, 16], [1, 1, 2, 3, 4, 5, 6]
+    links = minhash._forest_links(names, labels, sets, np.ones(7, bool), 85)
+    assert sorted(tuple(sorted(x)) for x in links) == [(11, 12), (12, 13), (14, 15)]
+    asks = np.array([False] * 6 + [True])
+    assert minhash._forest_links(names, labels, sets, asks, 85) == []
 
 
 def test_chains_of_links(docs_of):
