@@ -1,7 +1,8 @@
 """Batch generation: every model over every prompt, long table out.
 
-Two kinds of model: extractive ones are column expressions and run in the JVM; any other is a predictor
-built on the executors, once per model and partition, and fed in Arrow batches.
+Three kinds of model: extractive ones are column expressions and run in the JVM; the central sentence needs to know how
+common words are in the whole corpus and is a join; any other is a predictor built on the executors, once per model and
+partition, and fed in Arrow batches.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from dialogeval.functions import text
+from dialogeval.operators.joins import MAX_BROADCAST_BYTES, lookup_join, whole_row
+from dialogeval.sources import scratch
 
 Predictor = Callable[[list], Sequence[str]]
 
@@ -66,6 +69,59 @@ def generate_extractive(
     return split.withColumn("_output", F.explode(outputs)).select(*prompts.columns, "_output.*")
 
 
+CENTRAL = "org/central-1"
+# Weights of words are whole numbers of this size, so that sums do not depend on their order.
+WEIGHT_UNIT = 1_000_000
+
+
+def word_weights(texts: DataFrame, column: str) -> DataFrame:
+    """`(token, weight)`: inverse document frequency, ln(texts / texts with the word), in millionths, of every word.
+
+    A text counts a word once, in its map task; only partial counts of words are shuffled. Missing texts do not count.
+    """
+    known = texts.where(F.col(column).isNotNull())
+    total = known.count()
+    tokens = F.array_distinct(F.split(text.words(F.col(column)), " "))
+    counted = known.select(F.explode(tokens).alias("token")).where("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    weight = F.round(F.log(F.lit(float(total)) / F.col("n")) * WEIGHT_UNIT).cast("bigint")
+    return counted.select("token", weight.alias("weight"))
+
+
+def generate_central(
+    prompts: DataFrame,
+    dialog: str = "model_input",
+    model: str = CENTRAL,
+    weights: DataFrame | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Add `model`, `model_output`: the sentence of each dialogue whose words have the highest mean weight.
+
+    `weights` is a table `(token, weight)` with whole numbers; the default are the inverse document frequencies over the
+    dialogues of `prompts`. Every occurrence of a word counts; words without a weight weigh nothing. Ties go to the first
+    sentence, so do dialogues without words; without a sentence the output is missing. Rows need no key. Sentences stay
+    where they are: places and words of sentences are shuffled, words that many sentences share are salted if the weights
+    are too large to be sent to all tasks.
+    """
+    rows = prompts.select(F.monotonically_increasing_id().alias("number"), whole_row(prompts))
+    rows = scratch.through_table(rows, "prompts")
+    sentences = text.sentences(F.col(f"row.`{dialog}`"))
+    if weights is None:
+        weights = scratch.through_table(word_weights(rows.select(F.col(f"row.`{dialog}`").alias("text")), "text"), "weights")
+    split = rows.select("number", F.posexplode(sentences).alias("place", "sentence"))
+    words = split.select("number", "place", F.explode(F.split(text.words(F.col("sentence")), " ")).alias("token"))
+    words = words.where("token <> ''").groupBy("number", "place", "token").agg(F.count(F.lit(1)).alias("n"))
+    size = words.groupBy("number", "place").agg(F.sum("n").alias("words"))
+    found = lookup_join(words, weights, "token", ["number", "place"], max_broadcast_bytes=max_broadcast_bytes)
+    found = found.groupBy("number", "place").agg(F.sum(F.col("n") * F.col("weight")).alias("weight"))
+    mean = F.coalesce(F.col("weight"), F.lit(0)) / F.col("words")
+    ranked = size.join(found, ["number", "place"], "left").select("number", "place", mean.alias("mean"))
+    # The highest mean, then the first place, by numbers only.
+    top = ranked.groupBy("number").agg(F.max("mean").alias("mean"))
+    best = ranked.join(top, ["number", "mean"]).groupBy("number").agg(F.min("place").alias("place"))
+    output = F.try_element_at(sentences, F.coalesce("place", F.lit(0)) + 1)
+    return rows.join(best, "number", "left").select("row.*", F.lit(model).alias("model"), output.alias("model_output"))
+
+
 def batch_generate(
     prompts: DataFrame,
     model_ids: Sequence[str],

@@ -23,6 +23,11 @@ TRACKED_KEYS, MOST_TRACKED_KEYS = 16_384, 1_000_000
 _HASH, _SALT, _SALTS = "_key_hash", "_salt", "_salts"
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct `row`; what stands beside it clashes with none of them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def row_size(df: DataFrame) -> Column:
     """Bytes of all columns of a row, about."""
     size = F.lit(0)

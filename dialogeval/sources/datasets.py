@@ -44,16 +44,21 @@ def write_dataset(
 ) -> None:
     """Write Parquet with one directory per split; the job commit makes it all or nothing.
 
-    Rows are not shuffled first: each task writes at most one file per split. A writer that wants fewer
-    files repartitions by a hash of the row id before calling this, never by the split itself.
+    With the mode "overwrite" exactly the splits that `df` has rows of are replaced, and others stay. Rows are not
+    shuffled first: each task writes at most one file per split. A writer that wants fewer files repartitions by a hash of
+    the row id before calling this, never by the split itself.
     """
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
-def write_dated(df: DataFrame, path: str, run_date: str, mode: str = "append") -> None:
-    """Write results under `run_date=<date>`; the date is an argument so that a rerun is the same."""
-    dated = df.withColumn("run_date", F.lit(run_date).cast("date"))
-    dated.write.mode(mode).partitionBy("run_date").parquet(path)
+def write_dated(df: DataFrame, path: str, run_date: str) -> None:
+    """Write results under `run_date=<date>`.
+
+    The date is an argument, and what was written for it before is replaced, so that a rerun gives the same table; other
+    dates stay as they are. A run without rows leaves the date as it was.
+    """
+    write_dataset(df.withColumn("run_date", F.lit(run_date).cast("date")), path, ["run_date"], "overwrite")
 
 
 def scan_csv(
