@@ -1,13 +1,14 @@
 """Continuous versions of the map-only jobs.
 
 Building training rows and scoring overlap look at one row at a time, so the batch plans run on a stream
-unchanged. Entity tagging needs an aggregate per text and runs on each micro-batch against the static
-gazetteer. State is only the list of files already read; it lives with the checkpoint.
+unchanged. Entity tagging needs an aggregate per text and runs on each micro-batch against a static
+gazetteer, which is read and indexed once for all batches. State is only the list of files already read; it lives with the checkpoint.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -46,7 +47,7 @@ def stream_overlap(
 
 def stream_entities(
     texts: DataFrame,
-    gazetteer: DataFrame,
+    gazetteer: DataFrame | entities.Gazetteer,
     path: str,
     checkpoint: str,
     column: str = "text",
@@ -54,12 +55,14 @@ def stream_entities(
 ) -> StreamingQuery:
     """Entity sets of the distinct texts of each micro-batch.
 
-    A batch writes its own directory, so a batch that is run again replaces what it wrote before.
+    The gazetteer is prepared before the first batch; its version is a column of the result, so that results of an older
+    one can be told apart. A batch writes its own directory, so a batch that is run again replaces what it wrote before.
     """
+    ready = gazetteer if isinstance(gazetteer, entities.Gazetteer) else entities.prepare(gazetteer, types)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        found = entities.extract_entities(batch, gazetteer, column, types)
-        found.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        found = entities.extract_entities(batch, ready, column, types)
+        found.withColumn("gazetteer_version", F.lit(ready.version)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = texts.writeStream.foreachBatch(write).trigger(availableNow=True)
     return writer.option("checkpointLocation", checkpoint).start()
