@@ -38,13 +38,31 @@ def long_to_wide(
     prefix: str = K.OUTPUT_COLUMN_PREFIX,
     model: str = "model",
     value: str = "model_output",
+    key: Sequence[str] | None = None,
 ) -> DataFrame:
     """One column per model. The models are given, so no extra job looks for them.
 
-    A group is one dialogue and holds one row per model.
+    A group is one dialogue and holds one row per model; its outputs are gathered as pairs of model and text and never
+    sorted. With `key`, the ids that tell groups apart, the other `ids` (texts that are the same in all rows of a group)
+    are carried along and are not grouped by. Of several outputs of a model the smallest counts.
     """
-    wide = df.groupBy(*ids).pivot(model, list(models)).agg(F.first(value, ignorenulls=True))
-    return wide.withColumnsRenamed({m: f"{prefix}{m}" for m in models})
+    key = list(ids if key is None else key)
+    carried = [c for c in ids if c not in key]
+    known = F.col(value).isNotNull() & F.col(model).isin(list(models))
+    pair = F.struct(F.col(model).alias("model"), F.col(value).alias("value"))
+    found = [F.collect_set(F.when(known, pair)).alias("found")]
+    if carried:
+        found.append(F.collect_set(F.struct(*[F.col(c) for c in carried])).alias("carried"))
+    groups = df.groupBy(*key).agg(*found)
+    same = F.array_min("carried") if carried else None
+
+    def output(name: str) -> Column:
+        own = F.filter("found", lambda p: p["model"] == name)
+        return F.array_min(F.transform(own, lambda p: p["value"])).alias(f"{prefix}{name}")
+
+    return groups.select(
+        *[same[c].alias(c) if c in carried else F.col(c) for c in ids], *[output(name) for name in models]
+    )
 
 
 def concat_tables(*tables: DataFrame) -> DataFrame:
@@ -79,11 +97,13 @@ def distinct_count(df: DataFrame, column: str) -> DataFrame:
 def identical_outputs(df: DataFrame, key: str = "dialog_id", output: str = "model_output") -> DataFrame:
     """Per key: do all models say the same after lower-casing and stripping?
 
-    Lowest = highest needs one partial aggregate and no set of texts. A missing output equals nothing.
+    Two 64-bit hashes stand for a text, 128 bits in all; lowest = highest of each needs one partial aggregate of numbers.
+    A missing output equals nothing.
     """
     form = text.normalise_text(F.col(output))
-    same = (F.min(form) == F.max(form)) & (F.count(form) == F.count(F.lit(1)))
-    return df.groupBy(key).agg(F.coalesce(same, F.lit(False)).alias("identical"))
+    hashed = df.select(key, F.xxhash64(form).alias("one"), F.xxhash64(F.lit(1), form).alias("two"), form.isNotNull().alias("known"))
+    same = [F.min(h) == F.max(h) for h in ("one", "two")]
+    return hashed.groupBy(key).agg((same[0] & same[1] & F.min("known")).alias("identical"))
 
 
 def identical_in_row(columns: Sequence[str]) -> Column:

@@ -25,7 +25,7 @@ def human_eval_sheet(
     ids = outputs.select(key).distinct()
     sample = sampling.sample_n(ids, seed, key, rows)
     chosen = outputs.join(sample, key, "left_semi").join(label_map.select("model", "label"), "model")
-    wide = reshape.long_to_wide(chosen, [key, "dialog", "summary"], labels, prefix="", model="label")
+    wide = reshape.long_to_wide(chosen, [key, "dialog", "summary"], labels, prefix="", model="label", key=[key])
     return projections.reorder_columns(wide, [key, "dialog", "summary", *labels])
 
 
@@ -39,4 +39,4 @@ def side_by_side(
     """Dialogue, reference and every output of a few random dialogues."""
     sample = sampling.sample_n(outputs.select(key).distinct(), seed, key, rows)
     chosen = outputs.join(sample, key, "left_semi")
-    return reshape.long_to_wide(chosen, [key, "dialog", "summary"], models)
+    return reshape.long_to_wide(chosen, [key, "dialog", "summary"], models, key=[key])
