@@ -542,6 +542,26 @@ def batch_generate(spark, sf):
     return generate.generate_extractive(prompts).select("row_id", "model", "model_output")
 
 
+def central(spark, sf, max_broadcast_bytes):
+    prompts = fx.tagged_documents(spark, sf).select(
+        "row_id", text.strip_speaker_tags(F.col("dialogue")).alias("model_input")
+    )
+    found = generate.generate_central(prompts, max_broadcast_bytes=max_broadcast_bytes)
+    return found.select("row_id", "model", "model_output")
+
+
+@query
+def batch_generate_central(spark, sf):
+    """The sentence with the rarest words, by document frequencies over all dialogues."""
+    return central(spark, sf, joins.MAX_BROADCAST_BYTES)
+
+
+@query
+def batch_generate_central_joined(spark, sf):
+    """The path for vocabularies too large to broadcast."""
+    return central(spark, sf, 0)
+
+
 COUNTERS = ["first-word", "last-word", "count"]
 
 
@@ -592,12 +612,14 @@ def label_map_io(spark, sf):
 
 @query
 def dated_output(spark, sf):
-    """Results of two dates under one path; one of them is read back."""
+    """Results of two dates under one path, the first written again by a rerun; all are read back."""
     path = scratch.scratch_path(spark, "dated")
     rows = fx.ballots(spark, sf)
-    datasets.write_dated(rows, path, "2024-05-01")
+    datasets.write_dated(rows.where("winner IS NULL"), path, "2024-05-01")
     datasets.write_dated(rows.where("winner IS NOT NULL"), path, "2024-05-02")
-    found = datasets.scan_dataset(spark, path).where("run_date = DATE'2024-05-02'")
+    for _ in range(2):
+        datasets.write_dated(rows, path, "2024-05-01")
+    found = datasets.scan_dataset(spark, path)
     return found.select("dialog_id", "winner", F.col("run_date").cast("string").alias("run_date"))
 
 
@@ -629,6 +651,13 @@ def entity_scores_large_gazetteer(spark, sf):
     return flat_entities(entities.entity_differences(tagged, *columns), "summary")
 
 
+@query
+def entity_scores_distinct(spark, sf):
+    """Each distinct text tagged once, its set joined back by digest."""
+    rows, listed = stored(spark, sf, "short_outputs_long"), stored(spark, sf, "gazetteer")
+    return flat_entities(entities.entity_scores(rows, listed, "summary", distinct=True), "summary")
+
+
 @query
 def entity_scores_dialog(spark, sf):
     """Entities of the outputs against those of the whole dialogue."""

@@ -518,6 +518,28 @@ cte(
                 LEFT JOIN stemmed_r USING (dialog_id, model)))""",
 )
 cte("document_words", sql=f"SELECT DISTINCT unnest({tokens('text')}) AS token FROM documents")
+_CLEAN = "(SELECT row_id, " + untag("dialogue") + " AS d FROM tagged)"
+cte(
+    "central_said",
+    "tagged",
+    sql=f"""
+    SELECT row_id, i, s.s AS sentence, {tokens('s.s')} AS w
+    FROM (SELECT row_id, {sentences('d')} AS all_s FROM {_CLEAN}), unnest(all_s) WITH ORDINALITY AS s(s, i)""",
+)
+cte(
+    "central_weights",
+    "central_said",
+    sql=f"""
+    SELECT t, round(ln((SELECT count(d) FROM {_CLEAN}) / count(*)) * 1000000)::BIGINT AS weight
+    FROM (SELECT DISTINCT row_id, unnest(w) AS t FROM central_said) GROUP BY t""",
+)
+cte(
+    "central_means",
+    "central_weights",
+    sql="""
+    SELECT row_id, i, sum(weight) / count(*) AS mean
+    FROM (SELECT row_id, i, unnest(w) AS t FROM central_said) JOIN central_weights USING (t) GROUP BY row_id, i""",
+)
 cte(
     "evaluated_stemmed",
     "bert",
@@ -802,7 +824,7 @@ def _oracles() -> dict[str, str]:
             WHERE text IS NOT NULL GROUP BY text""",
         "listed",
     )
-    clean = "(SELECT row_id, " + untag("dialogue") + " AS d FROM tagged)"
+    clean = _CLEAN
     q["batch_generate"] = statement(
         f"""SELECT row_id, m.model AS model, m.output AS model_output
             FROM {clean}, unnest([{{model: 'org/lead-1', output: {lead('d')}}},
@@ -810,6 +832,15 @@ def _oracles() -> dict[str, str]:
                                   {{model: 'org/longest-1', output: {longest('d')}}}]) AS u(m)""",
         "tagged",
     )
+    q["batch_generate_central"] = statement(
+        f"""SELECT c.row_id, 'org/central-1' AS model, arg_min(sentence, i) AS model_output
+            FROM {clean} c LEFT JOIN (
+              SELECT central_said.* FROM central_said LEFT JOIN central_means USING (row_id, i)
+              QUALIFY coalesce(mean, -1) = max(coalesce(mean, -1)) OVER (PARTITION BY row_id)) b USING (row_id)
+            GROUP BY c.row_id""",
+        "central_means",
+    )
+    q["batch_generate_central_joined"] = q["batch_generate_central"]
     q["batch_generate_predictor"] = statement(
         """SELECT row_id, CASE WHEN row_id % 3 > 0 THEN row_id + 9007199254740993 END AS carried,
                   m.model AS model, m.output AS model_output
@@ -837,10 +868,13 @@ def _oracles() -> dict[str, str]:
         "SELECT position, model, position::VARCHAR AS label FROM labels4", "labels4"
     )
     q["dated_output"] = statement(
-        "SELECT dialog_id, winner, '2024-05-02' AS run_date FROM votes WHERE winner IS NOT NULL", "votes"
+        """SELECT dialog_id, winner, '2024-05-01' AS run_date FROM votes
+           UNION ALL SELECT dialog_id, winner, '2024-05-02' FROM votes WHERE winner IS NOT NULL""",
+        "votes",
     )
     q["entity_scores"] = statement(f"SELECT dialog_id, model, {_SETS} FROM sets_summary", "sets_summary")
     q["entity_scores_large_gazetteer"] = q["entity_scores"]
+    q["entity_scores_distinct"] = q["entity_scores"]
     q["entity_scores_dialog"] = statement(f"SELECT dialog_id, model, {_SETS} FROM sets_dialog", "sets_dialog")
     q["evaluate_outputs"] = statement(
         """SELECT dialog_id, model, num_hallucinated_entities, num_missed_entities,

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from dialogeval import constants as K
 from dialogeval.functions import chat, text
-from dialogeval.operators import aggregates, bertscore, entities, filters, rouge
+from dialogeval.operators import aggregates, bertscore, entities, filters, rouge, scoring
+from dialogeval.operators.joins import fits
 
 
 def prepare_eval_prompts(
@@ -30,7 +31,7 @@ def prepare_eval_prompts(
 
 def evaluate_outputs(
     outputs: DataFrame,
-    gazetteer: DataFrame,
+    gazetteer: DataFrame | entities.Gazetteer,
     vectors: DataFrame,
     input_col: str = "summary",
     output_col: str = "model_output",
@@ -40,12 +41,18 @@ def evaluate_outputs(
 ) -> DataFrame:
     """Entity differences, word-vector matching and subsequence overlap of each output.
 
-    `input_col` is what entities are compared with (the summary, or the dialogue). Both scores are
-    row-local, and so is entity tagging with a gazetteer that fits.
+    `input_col` is what entities are compared with (the summary, or the dialogue). Gazetteer and vectors are measured; if
+    both fit, rows stay where they are and go through one Arrow function that makes all scores. Otherwise the table that
+    does not fit is joined.
     """
+    ready = gazetteer if isinstance(gazetteer, entities.Gazetteer) else entities.prepare(gazetteer, types)
+    table = bertscore.clean_vectors(vectors)
+    if ready.shared is not None and fits(table, bertscore.vector_bytes(), bertscore.MAX_BROADCAST_BYTES):
+        scored = scoring.score_outputs(outputs, ready, table, input_col, output_col, reference_col, stem)
+        return entities.entity_differences(scored, input_col, output_col)
     scored = rouge.rouge_l(outputs, output_col, reference_col, stem)
     scored = bertscore.bert_score(scored, vectors, output_col, reference_col)
-    return entities.entity_scores(scored, gazetteer, input_col, output_col, types)
+    return entities.entity_scores(scored, ready, input_col, output_col, types)
 
 
 def leaderboard(evaluated: DataFrame, votes: DataFrame, label_map: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dialogeval.functions.stem import scoring_stem, stem
-from dialogeval.operators import bertscore, rouge
+from dialogeval.operators import bertscore, entities, rouge
+from dialogeval.plans import evaluation
+from dialogeval.sources import scratch
 
 # Examples printed in Porter (1980), with the results of the complete algorithm.
 PORTER = {
@@ -163,3 +165,34 @@ def test_both_paths_agree_on_repeated_rows_tokens_and_missing_keys(spark):
         found.append(sorted((str(r.dialog_id), str(r.model), r.summary, *(round(r[s], 6) for s in bertscore.SCORES)) for r in scored))
     assert found[0] == found[1] and len(found[0]) == 4
     assert {r[2]: r[-1] for r in found[0]}["odd"] == 0.0 and {r[2]: r[-1] for r in found[0]}["moon"] == 1.0
+
+
+def test_clashing_columns_keep_their_values(spark):
+    df = spark.createDataFrame([(77, "s", "b", "x y", "x")], "_row int, _score string, found string, model_output string, summary string")
+    vectors = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 1.0])], "token string, embedding array<float>")
+    for limit in (bertscore.MAX_BROADCAST_BYTES, 0):
+        row = bertscore.bert_score(df, vectors, max_broadcast_bytes=limit).first()
+        assert tuple(row)[:5] == (77, "s", "b", "x y", "x") and row.bert_recall == pytest.approx(1.0)
+
+
+def test_vectors_are_fetched_once_a_block(spark, monkeypatch):
+    stored, kept = scratch.through_table, {}
+    monkeypatch.setattr(scratch, "through_table", lambda df, name: kept.setdefault(name, stored(df, name)))
+    df = spark.createDataFrame([("sun moon sun", f"moon w{i % 3}") for i in range(600)], "model_output string, summary string").coalesce(1)
+    vectors = spark.createDataFrame([("sun", [1.0] * 64), ("moon", [0.5] * 64)], "token string, embedding array<float>")
+    assert bertscore.bert_score(df, vectors, max_broadcast_bytes=0).count() == 600
+    assert kept["block_words"].count() == 5
+
+
+def test_all_scores_in_one_pass(spark):
+    rows = [("1", "m", "Ann saw Bob", "Ann saw the dogs"), ("1", "n", "Ann saw Bob", None), ("2", "m", None, "Bob"), ("2", "n", "", "Ann"),
+            ("3", "m", "dogs running", "a dog runs with Bob")]
+    df = spark.createDataFrame(rows, "found string, row string, summary string, model_output string")
+    listed = spark.createDataFrame([("Ann", "PER"), ("Bob", "PER")], "entity string, type string")
+    vectors = spark.createDataFrame([("ann", [1.0, 0.0]), ("dogs", [0.3, 1.0]), ("bob", [0.5, 0.5])], "token string, embedding array<float>")
+    for stem in (True, False):
+        fused = evaluation.evaluate_outputs(df, listed, vectors, stem=stem)
+        assert fused._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+        apart = entities.entity_scores(bertscore.bert_score(rouge.rouge_l(df, stem=stem), vectors), listed)
+        assert fused.columns == apart.columns
+        assert sorted(map(str, fused.collect())) == sorted(map(str, apart.collect()))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dialogeval.functions import text
+from dialogeval.operators import entities
 from dialogeval.sources import datasets, scratch
 from dialogeval.streaming import jobs
 
@@ -67,12 +68,25 @@ def test_dated_results_and_label_map(spark, tmp_path):
     datasets.write_dated(spark.range(2).toDF("id"), str(tmp_path / "r"), "2024-02-02")
     dates = {r.run_date: r["count"] for r in spark.read.parquet(str(tmp_path / "r")).groupBy("run_date").count().collect()}
     assert dates == {datetime.date(2024, 2, 1): 3, datetime.date(2024, 2, 2): 2}
+    for ids in (7, 4):  # a rerun replaces its date and no other
+        datasets.write_dated(spark.range(ids).toDF("id"), str(tmp_path / "r"), "2024-02-01")
+    dates = {r.run_date: r["count"] for r in spark.read.parquet(str(tmp_path / "r")).groupBy("run_date").count().collect()}
+    assert dates == {datetime.date(2024, 2, 1): 4, datetime.date(2024, 2, 2): 2}
     labels = spark.createDataFrame([(2, "y", "b"), (1, "x", "a")], datasets.LABEL_MAP_SCHEMA)
     datasets.write_label_map(labels, str(tmp_path / "l"))
     back = datasets.scan_label_map(spark, str(tmp_path / "l")).orderBy("position")
     assert [tuple(r) for r in back.collect()] == [(1, "x", "a"), (2, "y", "b")]
 
 
+def test_overwriting_a_split_keeps_the_others(spark, tmp_path):
+    path = str(tmp_path / "d")
+    datasets.write_dataset(spark.createDataFrame([(1, "train"), (2, "test")], "id int, split string"), path)
+    for _ in range(2):
+        datasets.write_dataset(spark.createDataFrame([(3, "test"), (4, "test")], "id int, split string"), path, mode="overwrite")
+    found = sorted((r.id, r.split) for r in spark.read.parquet(path).collect())
+    assert found == [(1, "train"), (3, "test"), (4, "test")]
+
+
 def test_table_from_list(spark):
     df = datasets.table_from_list(spark, ["p", "q"], "model_input", "string")
     assert [r.model_input for r in df.collect()] == ["p", "q"]
@@ -117,3 +131,18 @@ def test_overlap_and_entity_streams(spark, tmp_path):
     jobs.stream_entities(texts, listed, found, str(tmp_path / "s2")).awaitTermination(120)
     rows = spark.read.parquet(found).select("text", "entities").collect()
     assert sorted((r.text, r.entities) for r in rows) == [("Ann sat", ["Ann"]), ("Bob", [])]
+
+
+def test_batches_share_one_gazetteer(spark, tmp_path, monkeypatch):
+    source, found = str(tmp_path / "in"), str(tmp_path / "out")
+    listed, reads = spark.createDataFrame([("Ann", "PER")], "entity string, type string"), []
+    prepare = entities.prepare
+    monkeypatch.setattr(entities, "prepare", lambda *a: reads.append(a) or prepare(*a))
+    for i in range(3):
+        spark.createDataFrame([(f"Ann {i}",)], "text string").coalesce(1).write.mode("append").parquet(source)
+    texts = spark.readStream.schema("text string").option("maxFilesPerTrigger", 1).parquet(source)
+    jobs.stream_entities(texts, listed, found, str(tmp_path / "s")).awaitTermination(120)
+    rows = spark.read.parquet(found).collect()
+    assert sorted((r.text, r.entities, r.batch) for r in rows) == sorted((r.text, ["Ann"], r.batch) for r in rows)
+    assert {r.batch for r in rows} == {0, 1, 2} and len(reads) == 1
+    assert {r.gazetteer_version for r in rows} == {prepare(listed).version}

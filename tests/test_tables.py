@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import re
 
@@ -351,3 +352,102 @@ def test_columns_and_renames(spark):
     assert projections.columns_matching(df, "a.") == ["a.x"]
     assert projections.rename_by_map(df, {"b": "c"}).columns == ["a.x", "c"]
     assert df.select(text.py_strip(F.lit(" x "))).first()[0] == "x"
+
+
+def test_quantiles_sort_small_intervals_only(spark, monkeypatch):
+    values = [((i * 7919) % 20_011) / 3 for i in range(20_000)] + [5.0] * 9_000
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", float(i % 3)) for i in range(50)], "g string, v double")
+    steps, narrowed = [], aggregates._narrowed
+    monkeypatch.setattr(aggregates, "_narrowed", lambda *a: steps.append(narrowed(*a)) or steps[-1])
+    found = {r.g: r for r in aggregates.exact_quantiles(df, ["g"], "v", {"x": 0.31, "y": 0.5}, accuracy=10, most_sorted=40).collect()}
+    assert [found["a"].x, found["a"].y] == pytest.approx(list(np.quantile(values, [0.31, 0.5])), rel=1e-12)
+    assert [found["b"].x, found["b"].y] == pytest.approx(list(np.quantile([i % 3 for i in range(50)], [0.31, 0.5])))
+    sizes = [s.rows.agg(F.max("_values")).first()[0] for s in steps]
+    assert sizes[0] > 40 >= sizes[-1]
+
+
+def test_no_texts_in_sorted_aggregates(spark):
+    rows = [(str(i), f"d{i}", f"s{i}", m, f" Out {m if i % 2 else 'x'}") for i in range(6) for m in ("a", "b")]
+    df = spark.createDataFrame(rows, "dialog_id string, dialog string, summary string, model string, model_output string")
+    labels = spark.createDataFrame([(1, "a", "1"), (2, "b", "2")], "position int, model string, label string")
+    plans = [
+        reshape.long_to_wide(df, ["dialog_id", "summary"], ["a", "b"]),
+        reshape.identical_outputs(df),
+        human.human_eval_sheet(df, labels, ["1", "2"], 3, 4),
+        human.side_by_side(df, ["a", "b"], 3, 4),
+    ]
+    for plan in plans:
+        assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+    same = {r.dialog_id: r.identical for r in plans[1].collect()}
+    assert same == {str(i): i % 2 == 0 for i in range(6)}
+    sheet = plans[2].collect()
+    assert len(sheet) == 4 and all(r["dialog"] == f"d{r.dialog_id}" and r["summary"] == f"s{r.dialog_id}" for r in sheet)
+    assert all(r["1"] == (" Out a" if int(r.dialog_id) % 2 else " Out x") for r in sheet)
+
+
+def test_long_to_wide_with_missing_and_repeated_outputs(spark):
+    rows = [("1", "d", "a", "z"), ("1", "d", "a", "y"), ("1", "d", "b", None), ("2", None, "c", "q"), ("3", "e", "b", "w")]
+    df = spark.createDataFrame(rows, "id string, dialog string, model string, model_output string")
+    for key in (None, ["id"]):
+        wide = reshape.long_to_wide(df, ["id", "dialog"], ["a", "b"], prefix="", key=key)
+        assert wide.columns == ["id", "dialog", "a", "b"]
+        assert sorted(map(tuple, wide.collect()), key=str) == [("1", "d", "y", None), ("2", None, None, None), ("3", "e", None, "w")]
+
+
+def test_trie_walks_do_not_depend_on_entry_lengths():
+    listed = ["a b c", "b c d e", "c", "e f", " x", "x ", "", "a  b", "x_y"]
+    trie = entities.entity_trie(listed)
+    assert entities.find_entities("a b c d e f, a  b x_y", trie) == ["a  b", "a b c", "b c d e", "e f", "x_y"]
+    assert entities.find_entities("nothing", trie) == entities.find_entities("", trie) == []
+    long = entities.entity_trie([" ".join(["w"] * 5000)])
+    assert entities.find_entities("w " * 4000, long) == []
+
+
+def test_filter_drops_runs_before_the_shuffle(spark):
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[i : i + 30]) for i in range(0, 370, 10)]
+    df = spark.createDataFrame([(t,) for t in texts] * 3, "text string")
+    listed = [w for i, w in enumerate(words) if i % 20 == 0] + ["w5 w6 w7", "w101 w102"]
+    table = spark.createDataFrame([(w, "PER") for w in listed], "entity string, type string")
+    ready = entities.prepare(table, max_broadcast_bytes=0)
+    runs = entities.listed_runs(df, ["text"], ready).collect()
+    matches = {(bytes(r.digest), r.i, r.j) for r in runs if r.entity in listed}
+    assert len(matches) <= len(runs) <= 1.1 * len(matches) + 10  # of three lengths from every word of three copies
+    tagged = entities.with_entities(df, ["text"], ready)
+    assert all(r.entities_in_text == brute_entities(r.text, listed) for r in tagged.collect())
+
+
+def test_distinct_texts_are_tagged_once(spark):
+    rows = [("1", f"Ann met Bob {i // 4}", f"Bob {i}") for i in range(40)] + [("2", None, "Ann")]
+    df = spark.createDataFrame(rows, "_row string, digest_0 string, names string")
+    table = spark.createDataFrame([("Ann", "PER"), ("Bob", "PER")], "entity string, type string")
+    columns = ["digest_0", "names"]
+    assert 1.2 < entities.copies_per_text(df, columns) < 2.2
+    found = [
+        sorted(map(tuple, entities.with_entities(df, columns, table, distinct=d, max_broadcast_bytes=limit).collect()), key=str)
+        for d, limit in ((False, 1 << 20), (True, 1 << 20), (None, 1 << 20), (False, 0))
+    ]
+    assert found[0] == found[1] == found[2] == found[3]
+    assert found[0][0] == ("1", "Ann met Bob 0", "Bob 0", ["Ann", "Bob"], ["Bob"])
+
+
+def test_central_sentence(spark):
+    rows = [
+        ("1", "The cat. The zebra sat. the the"),
+        ("2", "the cat. the cat"),
+        ("3", "... !!! "),
+        ("4", None),
+        ("5", "the!! . Quark? the\nthe cat sat"),
+        ("5", "the!! . Quark? the\nthe cat sat"),
+    ]
+    df = spark.createDataFrame(rows, "number string, model_input string")
+    weights = spark.createDataFrame([("cat", 10), ("zebra", 40), ("the", 1)], "token string, weight bigint")
+    expected = [("1", "The zebra sat"), ("2", "the cat"), ("3", "!!!"), ("4", None), ("5", "the cat sat"), ("5", "the cat sat")]
+    for limit in (1 << 20, 0):
+        given = generate.generate_central(df, weights=weights, max_broadcast_bytes=limit)
+        assert given.columns == ["number", "model_input", "model", "model_output"]
+        assert sorted((r.number, r.model_output) for r in given.collect()) == expected
+    measured = {r.token: r.weight for r in generate.word_weights(df, "model_input").collect()}
+    assert measured["zebra"] == round(math.log(5) * 1e6) and measured["the"] == round(math.log(5 / 4) * 1e6)
+    own = {r.number: r.model_output for r in generate.generate_central(df).collect()}
+    assert own["1"] == "The zebra sat" and own["5"] == "Quark? the"
