@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from dialogeval.llm import batches
 from dialogeval.llm.components import CELL_BITS, add_counts, cells_of, cells_used, components, count_batches, forest
-from dialogeval.operators.joins import fits
+from dialogeval.operators.joins import fits, whole_row
 from dialogeval.sources import scratch
 
 SHINGLE_WORDS = 5
@@ -144,7 +144,7 @@ def light_boundary(sizes: dict[int, int]) -> int:
     best, at, total = 0, 0, 0
     for n in range(1, MOST_LIGHT + 1):
         total += sizes.get(n, 0) * (_subset_cost(n) - _prefix(n) - n)
-        if total <= best:
+        if total < best:
             best, at = total, n
     return at
 
@@ -438,5 +438,5 @@ def keep_smallest(docs: DataFrame) -> DataFrame:
 
     Of repeated rows of one id all stay, and so do NULL ids.
     """
-    placed = jaccard_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(placed, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    dropped = jaccard_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("dropped")).distinct()
+    return docs.select(whole_row(docs)).join(dropped, F.col("row.doc_id") == F.col("dropped"), "left_anti").select("row.*")
