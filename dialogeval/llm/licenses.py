@@ -5,8 +5,8 @@ are the words and word pairs that occur in licence notices, each once, divided b
 and pairs, and a bias. A multinomial logistic regression over the licence families and one class for everything else is
 trained on the notices, varied by dropped, changed and added words, against paragraphs of the corpus and sentences that
 only talk about licences. Its logits are divided by a temperature fitted on held-out variations, so that the share of the
-unknown class is calibrated. A prediction counts when a notice of the family confirms it: enough of the notice's word
-triples occur in the paragraph.
+unknown class is calibrated. A prediction counts when a notice of the family confirms it: enough of the notice's words and
+word pairs occur in the paragraph.
 """
 
 from __future__ import annotations
@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 
 from dialogeval.llm import batches
 
-# Texts of the corpus that the unknown class is trained on, chosen by hash of their id, and paragraphs of each.
-SAMPLE_TEXTS, SAMPLE_PARAGRAPHS = 500, 4
+# The unknown class is trained on lines of so many texts, chosen by hash of their id, of these on so many lines of at most
+# so many characters, chosen by hash.
+SAMPLE_TEXTS, SAMPLE_LINES, LINE_CHARS = 500, 2_000, 2_000
 PIECE_WORDS = 40
 # A family is reported from this probability on, if so much of a notice occurs.
-MIN_PROBABILITY, MIN_OVERLAP = 0.5, 0.6
+MIN_PROBABILITY, MIN_OVERLAP = 0.5, 0.5
+# A line of the corpus with so much of a notice is no example of the unknown class.
+NOTICE_LIKE = 0.2
 UNKNOWN = "unknown"
 
 # Notices of the licence families: fixed values, the customary wording.
@@ -133,16 +136,16 @@ def pieces(lines: batches.Lines) -> np.ndarray:
 
 
 class Vocabulary:
-    """Words and pairs of the notices, and of each notice its triples."""
+    """Words and pairs of all notices, and of each notice."""
 
     def __init__(self):
         table = batches.word_table()
-        self.triples, self.owner, known = [], [], []
+        self.notices, self.owner, known = [], [], []
         for number, notices in enumerate(NOTICES.values()):
             for notice in notices:
                 hashes = _hashes(notice, table)
                 known += [hashes, batches.grams(hashes, 2)]
-                self.triples.append(np.unique(batches.grams(hashes, min(3, len(hashes)))))
+                self.notices.append(np.unique(np.concatenate(known[-2:])))
                 self.owner.append(number)
         self.known = np.unique(np.concatenate(known))
 
@@ -161,13 +164,10 @@ class Vocabulary:
         return found[:, 0], found[:, 1], 1 / np.sqrt(sizes[found[:, 0]])
 
     def overlap(self, hashes: np.ndarray, family: int) -> float:
-        """Largest share of the triples of one of the family's notices that occurs in the paragraph."""
-        best = 0.0
-        for triples, owner in zip(self.triples, self.owner, strict=True):
-            if owner == family:
-                own = np.concatenate([batches.grams(hashes, k) for k in (1, 2, 3) if k <= len(hashes)])
-                best = max(best, float(np.isin(triples, own).mean()))
-        return best
+        """Largest share of the words and pairs of one of the family's notices that occurs in the paragraph."""
+        own = np.concatenate([hashes, batches.grams(hashes, 2)])
+        of_family = [n for n, owner in zip(self.notices, self.owner, strict=True) if owner == family]
+        return max(float(np.isin(notice, own).mean()) for notice in of_family)
 
 
 def _hashes(text: str, table: np.ndarray) -> np.ndarray:
@@ -216,6 +216,14 @@ def variations(corpus: list[str], each: int, seed: int) -> list[tuple[str, int]]
     return [*out, *((t, len(FAMILIES) - 1) for t in unknown)]
 
 
+def _stop(data: np.ndarray, line_end: int, following: np.ndarray) -> int:
+    """Where a paragraph ends that goes up to the end of its line or the next word, without white space."""
+    stop = int(min(line_end, *following)) if len(following) else int(line_end)
+    while data[stop - 1] in batches.WHITE_SPACE:
+        stop -= 1
+    return stop
+
+
 def _matrix(vocabulary: Vocabulary, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     table = batches.word_table()
     words = [_hashes(t, table) for t in texts]
@@ -259,24 +267,34 @@ def train(corpus: list[str], seed: int = 7, rounds: int = 400) -> Model:
     return model
 
 
-def fit(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> Model:
-    """Train with paragraphs of at most `sample_texts` documents as the unknown class, those without cue words.
+def fit(
+    docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, sample_lines: int = SAMPLE_LINES, line_chars: int = LINE_CHARS
+) -> Model:
+    """Train with lines of at most `sample_texts` ids as the unknown class: at most `sample_lines` different ones without
+    cue words and of at most `line_chars` characters, so that what is fetched is bounded.
 
     NULL ids and texts give none; an empty table leaves the sentences about licences as the unknown class.
     """
     chosen = docs.select(F.col("doc_id").alias("id")).where("id IS NOT NULL").distinct()
     chosen = chosen.orderBy(F.xxhash64("id", F.lit("licence")), "id").limit(sample_texts)
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
-    lines = F.slice(F.split(F.col("text").cast("string"), "\n"), 1, SAMPLE_PARAGRAPHS)
-    line = texts.select(F.explode(lines).alias("line")).select(F.substring_index("line", " ", 2 * PIECE_WORDS).alias("line"))
-    clean = line.where("line <> ''").where(~F.col("line").rlike("(?i)licen|copyright|rights reserved|spdx|permission"))
-    return train(sorted(row["line"] for row in clean.collect()))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+    line = texts.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line").between(1, line_chars))
+    clean = line.where(~F.col("line").rlike("(?i)licen|copyright|rights reserved|spdx|permission")).distinct()
+    clean = clean.orderBy(F.xxhash64("line"), "line").limit(sample_lines)
+    # Lines like a notice are no examples of other text, whatever words they use.
+    vocabulary, table = Vocabulary(), batches.word_table()
+    lines = [row["line"] for row in clean.collect()]
+    hashes = [_hashes(line, table) for line in lines]
+    like = [max(vocabulary.overlap(h, k) for k in range(len(NOTICES))) if len(h) else 0.0 for h in hashes]
+    return train(sorted(line for line, share in zip(lines, like, strict=True) if share < NOTICE_LIKE))
 
 
 def scan_licenses(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> DataFrame:
     """One row per row of `docs` (doc_id, text): families confirmed in it, and the paragraphs they were found in.
 
-    `n_unknown` counts paragraphs of no confirmed family. NULL and wordless texts have no paragraphs. Repeated rows and
+    A span goes from the first word to the last character that is no white space; of equally probable families the first
+    listed one counts. `n_unknown` counts paragraphs of no confirmed family. NULL and wordless texts have no paragraphs. Repeated rows and
     NULL ids keep their rows; no documents give no rows. Other columns are ignored.
     """
     model = fit(docs, sample_texts)
@@ -287,7 +305,8 @@ def scan_licenses(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> DataFram
         for batch in stream:
             for lo, hi, data, offsets in batches.slices(batch.column(1)):
                 words = batches.words(data, offsets, table)
-                first = pieces(batches.lines(data, offsets, words))
+                lines = batches.lines(data, offsets, words)
+                first = pieces(lines)
                 row = np.searchsorted(words.first, first, side="right") - 1
                 count = np.bincount(row, minlength=hi - lo)
                 rows = [[] for _ in range(hi - lo)]
@@ -305,7 +324,7 @@ def scan_licenses(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS) -> DataFram
                         overlap = vocabulary.overlap(words.hashes[a:b], family)
                         if overlap >= MIN_OVERLAP:
                             begin = offsets[row[k]]
-                            start, end = words.start[a], words.end[b - 1]
+                            start, end = words.start[a], _stop(data, lines.high[b - 1], words.start[b : b + 1])
                             at = np.count_nonzero((data[begin:start] & 0xC0) != 0x80)
                             size = np.count_nonzero((data[start:end] & 0xC0) != 0x80)
                             chance = round(float(p[i, best[i]]), 6)

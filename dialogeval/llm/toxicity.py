@@ -42,7 +42,8 @@ class Model:
 
     def grades(self, score: np.ndarray) -> np.ndarray:
         """P(grade >= k) for every score and k."""
-        return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
+        p = 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
+        return np.where(np.isinf(self.thresholds), 0.0, p)
 
 
 def _features(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +87,14 @@ def _distinct_words(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], ["toxic", "words"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_CLASS, min_z: float = MIN_Z) -> Model:
-    """Fit on at most `sample_per_class` labelled documents of either class.
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample_per_class: int = SAMPLE_PER_CLASS,
+    min_z: float = MIN_Z,
+    max_words: int = MAX_WORDS,
+) -> Model:
+    """Fit on at most `sample_per_class` labelled documents of either class, with the `max_words` most telling features.
 
     Several labels of one document count as its highest; NULL labels and ids are left out. Without both classes nothing
     is toxic.
@@ -112,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_per_class: int = SAMPLE_PER_C
     spread = F.sqrt(rate * (1 - rate) * (1 / n1 + 1 / n0) + 1e-12)
     z = (F.col("in_toxic") / n1 - (F.col("in_all") - F.col("in_toxic")) / n0) / spread
     best = used.where("in_all >= 3").select("word", z.alias("z")).where(F.abs("z") >= min_z)
-    best = best.orderBy(F.desc(F.abs("z")), "word").limit(MAX_WORDS).collect()
+    best = best.orderBy(F.desc(F.abs("z")), "word").limit(max_words).collect()
     if not best:
         return nothing
     pairs = sorted((row["word"] & 0xFFFFFFFFFFFFFFFF, row["z"] > 0) for row in best)
@@ -206,7 +213,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """`docs` without the rows that the model calls toxic, fitted on the labelled ones among them; columns unchanged."""
+    """`docs` without the rows that the model calls toxic, fitted on the labelled ones among them; columns unchanged.
+
+    NULL and empty texts have no features and stay unless the thresholds alone say toxic; equal texts, repeated rows and
+    ties share one fate. Without labels of both classes all rows stay; no documents give no rows.
+    """
     model = fit(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast((model.words, model.weights, model.thresholds))
 

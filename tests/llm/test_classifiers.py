@@ -46,9 +46,36 @@ def test_toxicity_edges(spark, docs_of):
     for labels in (none, odd):
         rows = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
         assert len(rows) == 4 and not any(r["toxic"] for r in rows) and {r["expected_severity"] for r in rows} == {0.0}
+        assert toxicity.keep_clean(docs, labels).count() == 4
     assert toxicity.score(docs_of(), toxicity.fit(docs, none)).count() == 0
 
 
+def test_toxicity_of_very_long_texts_and_few_words(spark, docs_of):
+    docs, labelled, _ = corpus(spark, docs_of)
+    model = toxicity.fit(docs, labelled, max_words=2)
+    assert len(model.words) == 2
+    model = toxicity.fit(docs, labelled)
+    long = "word " * 300_000
+    rows = toxicity.score(docs_of(long, long + "vile nasty vile nasty rotten1 rotten2"), model).orderBy("doc_id").collect()
+    assert [r["n_terms"] > 0 for r in rows] == [False, True] and rows[1]["p_toxic"] > rows[0]["p_toxic"]
+
+
+def test_scores_follow_the_weights(docs_of):
+    """The scoring part against its formula, from given weights."""
+    table = toxicity.batches.word_table()
+    data = np.frombuffer(b"vile rot", np.uint8)
+    found, _ = toxicity._features(data, np.array([0, len(data)]), table)
+    words, weights = np.sort(found[[0, 3]]), np.array([1.5, -0.25])
+    by_word = dict(zip(words.tolist(), weights.tolist(), strict=True))
+    model = toxicity.Model(words, weights, np.array([0.0, 1.0, 3.0]))
+    texts = {0: (), 1: (0,), 2: (3,), 3: (0, 3)}
+    rows = toxicity.score(docs_of("x", "Vile vile!", "rot", "rot vile x"), model).collect()
+    for r in rows:
+        score = sum(by_word[int(found[k])] for k in texts[r["doc_id"]])
+        want = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        assert np.allclose(r["grades"], want) and np.isclose(r["expected_severity"], sum(want)) and r["toxic"] == (want[0] >= 0.5)
+
+
 def test_toxicity_of_the_labelled_rows(spark, sf_dir):
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
     rows = QUERIES["op7_toxicity"](spark, sf_dir).collect()
@@ -68,7 +95,7 @@ def test_licences_on_held_out_variations(spark, docs_of):
         else:
             known += 1
             right += rows[i] == [name]
-    assert right >= 0.8 * known and false <= 2
+    assert right >= 0.9 * known and false <= 2
 
 
 def test_licence_spans_and_tables(spark, sf_dir, docs_of):
