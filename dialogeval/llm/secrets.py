@@ -15,18 +15,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dialogeval.operators.joins import whole_row
+
 SCOPE = 200
 MARK = "[SECRET]"
 
-# Kinds in the order of the report. `assign` takes failing matches too, because they use up text; of the next two a run
+# Kinds in the order of the report. Weak candidates have a least length and no greatest one. `assign` takes failing matches too, because they use up text; of the next two a run
 # that is too short holds no other match, so the pattern asks for the length itself.
 PATTERNS = {
     "assign": "((?i:password|passwd|secret|token|api_?key))[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
     "access": "AKIA[A-Z0-9]{14,}",
     "hex": "[0-9a-f]{16,}",
-    "weak_id": "(?<![A-Za-z0-9])(?=[A-Z]{0,31}[0-9])[A-Z0-9]{16,32}(?![A-Za-z0-9])",
-    "weak_secret": "(?<![A-Za-z0-9+/])(?=[A-Z0-9+/]{0,79}[a-z])(?=[a-z0-9+/]{0,79}[A-Z])(?=[A-Za-z+/]{0,79}[0-9])"
-    "[A-Za-z0-9+/]{24,80}(?![A-Za-z0-9+/])",
+    "weak_id": "(?<![A-Za-z0-9])(?=[A-Z]*+[0-9])[A-Z0-9]{16,}+(?![A-Za-z0-9])",
+    "weak_secret": "(?<![A-Za-z0-9+/])(?=[A-Z0-9+/]*+[a-z])(?=[a-z0-9+/]*+[A-Z])(?=[A-Za-z+/]*+[0-9])[A-Za-z0-9+/]{24,}+",
     "endpoint": "(?:https?|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9._:@/-]+",
 }
 KINDS = list(PATTERNS)
@@ -154,26 +155,24 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 def redact_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """`docs` with every reported span replaced by a mark; `n_chars`, if there, is counted anew; columns unchanged."""
-    spans = find_secrets(docs, scope).where(F.size("found") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "found"
-    ).withColumnRenamed("found", "_found")
-    text = F.col("text").cast("string")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (
-        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_key")
+    spans = find_secrets(docs, scope).where(F.size("found") > 0).select("doc_id", "text_key", "found")
+    text = F.col("row.text").cast("string")
+    same = F.col("row.doc_id").cast("bigint").eqNullSafe(F.col("doc_id")) & (
+        F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("text_key")
     )
-    joined = docs.join(spans, same, "left")
+    joined = docs.select(whole_row(docs)).join(spans, same, "left")
     pieces = F.transform(
-        "_found",
+        "found",
         lambda s: F.when(
             s["start"] >= s["free"],
             F.concat(F.substring(text, s["free"] + 1, s["start"] - s["free"]), F.lit(MARK)),
         ).otherwise(F.lit("")),
     )
-    last = F.array_max(F.transform("_found", lambda s: s["end"]))
+    last = F.array_max(F.transform("found", lambda s: s["end"]))
     clean = F.concat(F.array_join(pieces, ""), F.substring(text, last + 1, F.length(text)))
-    out = F.when(F.col("_found").isNull(), F.col("text")).otherwise(clean)
+    out = F.when(F.col("found").isNull(), F.col("row.text")).otherwise(clean)
     changed = {"text": out}
     if "n_chars" in docs.columns:
-        counted = F.when(F.col("_found").isNull(), F.col("n_chars"))
+        counted = F.when(F.col("found").isNull(), F.col("row.n_chars"))
         changed["n_chars"] = counted.otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+    return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`") for c in docs.columns])

@@ -69,6 +69,20 @@ def test_weak_candidates_need_their_complement(docs_of):
     assert got[3] == f"weak_id:0:20,weak_secret:25:{25 + len(secret)}"
 
 
+def test_long_parts_are_candidates(docs_of):
+    key = ("Ab1+" * 22)[:86] + "=="
+    name = "AB12" * 10
+    host = "https://db.example.com/x"
+    secret = "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY12"
+    texts = [f"{host} {key}", f"{name} {secret}", "Ab1/" * 3000 + " " + host]
+    got = {r["doc_id"]: r["spans"] for r in s.scan_secrets(docs_of(*texts)).collect()}
+    assert got[0] == f"endpoint:0:{len(host)},weak_secret:{len(host) + 1}:{len(host) + 87}"
+    assert got[1] == f"weak_id:0:40,weak_secret:41:{41 + len(secret)}"
+    assert got[2] == f"weak_secret:0:12000,endpoint:12001:{12001 + len(host)}"
+    clean = {r["doc_id"]: r["text"] for r in s.redact_secrets(docs_of(*texts)).collect()}
+    assert key[:86] not in clean[0] and name not in clean[1] and secret not in clean[1]
+
+
 def test_redaction(docs_of):
     docs = docs_of("ß token=\"" + HEX + "\" end", "clean", None, f"{KEY}{HEX}", f"a {HEX} b {HEX}")
     out = s.redact_secrets(docs)
