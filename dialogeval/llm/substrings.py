@@ -1,8 +1,10 @@
 """Removal of repeated lines and sentences.
 
-Units are lines, and the sentences of lines that have several. A unit is normalised to its words (A-Z lower-cased, white
-space dropped) and hashed to 128 bits. The digests are grouped over all documents; the occurrence in the document of the
-smallest id, the first one there, stays, and every other is removed. What stays keeps its offsets in the original.
+Units are lines, and inside of lines the sentences; a short sentence makes a unit with as many of the next ones of its line
+as it takes to be long enough, so that passages of short sentences are found wherever they stand. A unit is normalised to
+its words (A-Z lower-cased, white space dropped) and hashed to 128 bits, whatever kind of unit it is. The digests are grouped
+over all documents; the occurrence in the document of the smallest id, the first one there, stays, and every other one
+that does not overlap it is removed. What stays keeps its offsets in the original.
 
 Only digests travel: documents that repeat a unit are found by one aggregate that keeps the smallest id, so a line
 that a third of all documents share is one row per task; its join back is one of two stored tables, which adaptive
@@ -41,7 +43,7 @@ def _units(line_words: int, sentence_words: int):
                 lines = batches.lines(data, offsets, found)
                 count = len(found.start)
                 chars = batches.char_positions(data)
-                begins, stops, lows, highs, tags = [], [], [], [], []
+                begins, stops, lows, highs = [], [], [], []
                 begin = np.flatnonzero(lines.new)
                 stop = np.append(begin[1:], count)[: len(begin)]
                 keep = stop - begin >= line_words
@@ -50,26 +52,31 @@ def _units(line_words: int, sentence_words: int):
                 lows.append(lines.low[begin[keep]])
                 highs.append(lines.high[begin[keep]])
                 first = np.flatnonzero(lines.sentence)
-                last = np.append(first[1:], count)[: len(first)]
-                ends_line = np.append(lines.new, True)[last]
-                keep = (last - first >= sentence_words) & ~(lines.new[first] & ends_line)
+                # The first end of a sentence that is far enough, if the line goes on so long.
+                bound = np.append(first, count)
+                far = np.minimum(np.searchsorted(bound, first + sentence_words), len(bound) - 1)
+                last = np.maximum(bound[far], np.append(first[1:], count)[: len(first)])
+                line_stop = np.append(begin[1:], count)[np.searchsorted(begin, first, side="right") - 1] if count else last
+                ends_line = last == line_stop
+                keep = (last - first >= sentence_words) & (last <= line_stop) & ~(lines.new[first] & ends_line)
                 first, last, ends_line = first[keep], last[keep], ends_line[keep]
                 begins.append(first)
                 stops.append(last)
                 lows.append(found.start[first])
                 following = np.append(found.start, len(data))[last]
                 highs.append(np.where(ends_line, found.end[last - 1] if count else last, following))
-                tags = np.repeat([1, 2], [len(begins[0]), len(first)])
                 begin, stop, low, high = (np.concatenate(x) for x in (begins, stops, lows, highs))
                 row = np.searchsorted(found.first, begin, side="right") - 1
-                tag = tags.astype(np.uint64)
-                one = batches.mix(batches.run_hashes(found.hashes, begin, stop, 11) ^ tag)
-                two = batches.mix(batches.run_hashes(found.hashes, begin, stop, 23) + tag)
+                one = batches.run_hashes(found.hashes, begin, stop, 11)
+                two = batches.run_hashes(found.hashes, begin, stop, 23)
                 # Occurrences behind the first of one document go whatever other documents hold.
-                order = np.lexsort((low, one, row))
-                again = np.zeros(len(order), bool)
+                order = np.lexsort((begin, two, one, row))
+                leads = np.ones(len(order), bool)
                 a, b = order[1:], order[:-1]
-                again[a] = (row[a] == row[b]) & (one[a] == one[b]) & (two[a] == two[b])
+                leads[1:] = (row[a] != row[b]) | (one[a] != one[b]) | (two[a] != two[b])
+                leader = order[np.maximum.accumulate(np.where(leads, np.arange(len(order)), 0))] if len(order) else order
+                again = np.zeros(len(order), bool)
+                again[order] = begin[order] >= stop[leader]
                 base = chars[offsets[row]]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -112,10 +119,11 @@ def dedup_substrings(
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text): the text that stays, and removed and kept spans in code points.
 
-    Lines of fewer than `line_words` words and sentences of fewer than `sentence_words` stay. A removed line takes its
-    line feed along. NULL and empty texts stay empty. Rows that repeat an id and text are one document. NULL ids rank
-    last; several documents without id all keep what no other holds. No documents give no rows. Other columns are
-    ignored.
+    Lines of fewer than `line_words` words stay, and so do sentences that are shorter than `sentence_words` together with
+    all that follow in their line, unless an earlier unit holds them. A removed line takes its line feed along. NULL and
+    empty texts stay empty. Rows of one id are one document if their texts are equal; if they differ, they rank alike and
+    all keep what no smaller id holds. NULL ids rank last and likewise among each other. No documents give no rows. Other
+    columns are ignored.
     """
     source = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
