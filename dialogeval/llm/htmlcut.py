@@ -411,7 +411,8 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> np.ndarray:
 
     chosen = pages.select(F.col("page_id").alias("id")).where("id IS NOT NULL").distinct()
     chosen = chosen.orderBy(F.xxhash64("id", F.lit("html")), "id").limit(sample_pages)
-    sample = pages.join(F.broadcast(chosen), F.col("page_id") == F.col("id")).select(F.col("html").cast("string"))
+    sample = pages.select("page_id", F.col("html").cast("string").alias("html"))
+    sample = sample.join(F.broadcast(chosen), F.col("page_id") == F.col("id")).select("html")
     # Features are few and coarse, so equal rows are many.
     rows = sample.mapInArrow(label, "row array<double>").groupBy("row").count().orderBy("row").collect()
     if not rows:
