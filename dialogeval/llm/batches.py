@@ -84,6 +84,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
 
 _ARROW = {
     "bigint": pa.int64(),
+    "int": pa.int32(),
     "string": pa.string(),
     "binary": pa.binary(),
     "boolean": pa.bool_(),

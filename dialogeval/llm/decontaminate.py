@@ -6,9 +6,9 @@ words share a fingerprint of it. Training fingerprints are looked up among those
 extended word by word in both directions; a shared run of at least `window` words is contamination. An item with
 fewer words is one run of its own length and its own only k-gram.
 
-The benchmark's fingerprints are sent to the tasks in groups of items of at most `INDEX_WORDS` words; a benchmark beyond
-that takes several passes over the documents and its hits are united. The documents are never shuffled in the usual
-single pass, and no row leaves its task.
+A benchmark of at most `INDEX_WORDS` words is sent to the tasks, which index it once each; documents are not shuffled.
+A larger one stays on Spark: its fingerprints are joined with those of blocks of documents on the hash, each block fetches
+the items it shares a fingerprint with once, in parts of at most `INDEX_WORDS` words, and hits are extended behind the join.
 """
 
 from __future__ import annotations
@@ -19,22 +19,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dialogeval.llm import batches
+from dialogeval.operators.joins import whole_row
 from dialogeval.sources import scratch
 
 WINDOW = 10
 GRAM = 5
-# Words of benchmark items in one pass: 8 bytes each, and about 24 more for their fingerprints.
+# Words of benchmark items that a task indexes at a time: 8 bytes each, and about 24 more for their fingerprints.
 INDEX_WORDS = 1 << 20
+# Documents in a block of the joined path, as a power of two.
+BLOCK_BITS = 8
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean,"
     " items array<string>, spans array<struct<start:int,end:int>>"
 )
-_HITS = "doc_id bigint, n_words bigint, text_key binary, items array<string>, words binary, starts binary, ends binary"
+_HITS = "number bigint, n_words bigint, items array<string>, words binary, starts binary, ends binary"
 
 
 def _winnow(gram_hashes: np.ndarray, window: int) -> np.ndarray:
@@ -124,37 +127,39 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
 
+def _hits(index: Index, numbers: pa.Array, texts: pa.Array, table: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(number, text) to hits."""
+    for lo, hi, data, offsets in batches.slices(texts):
+        words = batches.words(data, offsets, table)
+        rows = []
+        for r in range(hi - lo):
+            a, b = int(words.first[r]), int(words.first[r + 1])
+            mask, found = index.scan(words.hashes[a:b])
+            start = end = where = np.flatnonzero(mask)
+            if len(where):
+                begin, stop = offsets[r], offsets[r + 1]
+                chars = batches.char_positions(data[begin:stop])
+                start = chars[words.start[a:b][where] - begin]
+                end = chars[words.end[a:b][where] - begin]
+            names = sorted(index.names[i] for i in found)
+            packed = [np.asarray(x, np.int64).tobytes() for x in (where, start, end)]
+            rows.append((numbers[lo + r].as_py(), b - a, names, *packed))
+        yield batches.record_batch(rows, _HITS)
+
+
 def _scanner(shared, window: int, gram: int):
-    """Batches of (doc_id, text) to hits. `shared` holds the items, whose index each task builds once."""
+    """Batches of (number, text) to hits. `shared` holds the items, whose index each task builds once."""
 
     def scan(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, table = Index(shared.value, window, gram), batches.word_table()
         for batch in stream:
-            ids = batch.column(0)
-            for lo, hi, data, offsets in batches.slices(batch.column(1)):
-                words = batches.words(data, offsets, table)
-                rows = []
-                for r in range(hi - lo):
-                    a, b = int(words.first[r]), int(words.first[r + 1])
-                    mask, found = index.scan(words.hashes[a:b])
-                    n, start, end = b - a, np.zeros(0), np.zeros(0)
-                    where = np.flatnonzero(mask)
-                    if len(where):
-                        begin, stop = offsets[r], offsets[r + 1]
-                        chars = batches.char_positions(data[begin:stop])
-                        start = chars[words.start[a:b][where] - begin]
-                        end = chars[words.end[a:b][where] - begin]
-                    key = hashlib.blake2b(data[offsets[r] : offsets[r + 1]], digest_size=16).digest() if found else None
-                    names = sorted(index.names[i] for i in found)
-                    packed = [np.asarray(x, np.int64).tobytes() for x in (where, start, end)]
-                    rows.append((ids[lo + r].as_py(), n, key, names, *packed))
-                yield batches.record_batch(rows, _HITS)
+            yield from _hits(index, batch.column(0), batch.column(1), table)
 
     return scan
 
 
 def _finish(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hits of one document, of any number of passes, to its row."""
+    """Hits of one document, of any number of parts of the benchmark, to its row; its number stands for its id."""
     for batch in stream:
         rows = []
         for row in batch.to_pylist():
@@ -167,22 +172,97 @@ def _finish(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 first, last = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(where) - 1]])
                 spans = [{"start": int(start[at][a]), "end": int(end[at][b])} for a, b in zip(first, last, strict=True)]
             sha = hashlib.sha256(",".join(names).encode()).hexdigest()
-            rows.append((row["doc_id"], row["n_words"], len(where), len(names), sha, len(where) > 0, names, spans))
+            rows.append((row["number"], row["n_words"], len(where), len(names), sha, len(where) > 0, names, spans))
         yield batches.record_batch(rows, SCHEMA)
 
 
-def _groups(benchmark: DataFrame, index_words: int) -> Iterator[list[tuple[str, str]]]:
-    """The items in groups of bounded size, fetched one after the other."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item IS NOT NULL")
-    group, size = [], 0
-    for row in items.where("text IS NOT NULL").toLocalIterator():
-        length = len(row["text"]) // 2 + 1  # no text has more words
-        if group and size + length > index_words:
-            yield group
-            group, size = [], 0
-        group.append((row["item"], row["text"]))
-        size += length
-    yield group
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item, text, size): all items with a text; no text has more than `size` words."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
+    return items.where("item IS NOT NULL AND text IS NOT NULL").withColumn("size", F.floor(F.length("text") / 2) + 1)
+
+
+def _shared_items(items: DataFrame, index_words: int):
+    """Broadcast of all items if they fit, else None."""
+    words = items.agg(F.sum("size")).first()[0] or 0
+    if words > index_words:
+        return None
+    return items.sparkSession.sparkContext.broadcast([(r["item"], r["text"]) for r in items.collect()])
+
+
+def _item_prints(window: int, gram: int):
+    """(place, text) of items to (run, hash, place): the fingerprints, and the length of the runs that they stand for."""
+
+    def prints(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for place, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for run, (hashes, _, _) in Index([("", text)], window, gram).lookup.items():
+                    own = np.unique(hashes)
+                    columns = [np.full(len(own), run, np.int32), own.view(np.int64), np.full(len(own), place)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "hash", "place"])
+
+    return prints
+
+
+def _document_prints(runs: list[int], window: int, gram: int):
+    """(block, text) to (run, hash, block): the fingerprints for runs of each of the lengths that items have."""
+
+    def prints(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = batches.word_table()
+        for batch in stream:
+            for lo, hi, data, offsets in batches.slices(batch.column(1)):
+                words, blocks = batches.words(data, offsets, table), batch.column(0).slice(lo, hi - lo).to_numpy()
+                found: dict[tuple[int, int], list[np.ndarray]] = {}
+                for r in range(hi - lo):
+                    own = words.hashes[words.first[r] : words.first[r + 1]]
+                    for run in runs:
+                        if len(own) >= run:
+                            k, of = _windows_of(run, window, gram)
+                            grams = batches.grams(own, k)
+                            found.setdefault((int(blocks[r]), run), []).append(grams[_winnow(grams, of)])
+                for (block, run), hashes in found.items():
+                    own = np.unique(np.concatenate(hashes))
+                    columns = [np.full(len(own), run, np.int32), own.view(np.int64), np.full(len(own), block)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "hash", "block"])
+
+    return prints
+
+
+def _block_scanner(window: int, gram: int):
+    def scan(key: tuple, docs: pa.Table, items: pa.Table) -> pa.Table:
+        table = batches.word_table()
+        index = Index(list(zip(items["item"].to_pylist(), items["text"].to_pylist(), strict=True)), window, gram)
+        docs = docs.combine_chunks()
+        found = [b for part in docs.to_batches() for b in _hits(index, part["number"], part["text"], table)]
+        some = pa.Table.from_batches(found, found[0].schema) if found else batches.record_batch([], _HITS)
+        return pa.table(some)
+
+    return scan
+
+
+def _joined_hits(rows: DataFrame, items: DataFrame, window: int, gram: int, index_words: int) -> DataFrame:
+    """Hits (number, items, words, starts, ends) of the documents `rows` (number, text) that share a fingerprint with items."""
+    items = scratch.through_table(items.withColumn("place", F.monotonically_increasing_id()), "items")
+    listed = items.select("place", "text").mapInArrow(_item_prints(window, gram), "run int, hash bigint, place bigint")
+    listed = scratch.through_table(listed, "item_prints")
+    runs = sorted(r["run"] for r in listed.select("run").distinct().collect())
+    block = F.shiftright("number", BLOCK_BITS).alias("block")
+    prints = rows.select(block, "text").mapInArrow(_document_prints(runs, window, gram), "run int, hash bigint, block bigint")
+    # A fingerprint that many blocks have is a frequent key on one side only; adaptive execution divides it.
+    prints = scratch.through_table(prints, "prints")
+    pairs = scratch.through_table(prints.join(listed, ["run", "hash"]).select("block", "place").distinct(), "pairs")
+    sizes = pairs.join(items.select("place", "size"), "place").groupBy("block")
+    parts = scratch.through_table(sizes.agg(F.ceil(F.sum("size") / index_words).cast("int").alias("parts")), "parts")
+    part = F.pmod(F.xxhash64("place"), F.col("parts")).cast("int").alias("part")
+    fetched = pairs.join(parts, "block").select("block", "place", part).join(items, "place").select("block", "part", "item", "text")
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    there = rows.select("number", "text", block).join(parts, "block").select("block", part, "number", "text")
+    found = there.groupBy("block", "part").cogroup(fetched.groupBy("block", "part"))
+    found = found.applyInArrow(_block_scanner(window, gram), _HITS).where(F.size("items") > 0)
+    return found.groupBy("number").agg(
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+        *[F.unhex(F.array_join(F.collect_list(F.hex(c)), "")).alias(c) for c in ("words", "starts", "ends")],
+    )
 
 
 def decontaminate(
@@ -199,42 +279,27 @@ def decontaminate(
     items of one id count once. An empty benchmark leaves every document clean, no documents give no rows. Other
     columns are ignored.
     """
-    spark = docs.sparkSession
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    passes = [
-        source.mapInArrow(_scanner(spark.sparkContext.broadcast(group), window, gram), _HITS)
-        for group in _groups(benchmark, index_words)
-    ]
-    hits = passes[0]
-    if len(passes) > 1:
-        every = passes[0]
-        for more in passes[1:]:
-            every = every.unionByName(more)
-        # Equal rows have equal hits, so the hits of one stand for all.
-        found = every.where("text_key IS NOT NULL").groupBy("doc_id", "text_key").agg(
-            F.flatten(F.collect_set("items")).alias("items"),
-            *[F.expr(f"array_join(collect_list(hex({c})), '')").alias(c) for c in ("words", "starts", "ends")],
-        )
-        found = found.select("doc_id", "text_key", "items", *[F.unhex(c).alias(c) for c in ("words", "starts", "ends")])
-        keyed = source.withColumn("text_key", F.lit(None).cast("binary"))
-        keyed = keyed.mapInArrow(_keys, "doc_id bigint, n_words bigint, text_key binary").alias("d")
-        same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("d.text_key") == F.col("f.text_key"))
-        hits = keyed.join(found.alias("f"), same, "left").select("d.*", "f.items", "f.words", "f.starts", "f.ends")
-    return hits.mapInArrow(_finish, SCHEMA)
-
-
-def _keys(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    source = docs.select(F.col("doc_id").cast("bigint").alias("number"), F.col("text").cast("string").alias("text"))
+    items = _items(benchmark)
+    shared = _shared_items(items, index_words)
+    if shared is not None:
+        # The id itself is the number that hits carry.
+        return source.mapInArrow(_scanner(shared, window, gram), _HITS).mapInArrow(_finish, SCHEMA)
+    rows = source.select(F.monotonically_increasing_id().alias("number"), F.col("number").alias("doc_id"), "text")
+    rows = scratch.through_table(rows, "documents")
+    found = _joined_hits(rows.select("number", "text"), items, window, gram, index_words)
+    counted = rows.select("doc_id", "number", "text").mapInArrow(_counts, "doc_id bigint, number bigint, n_words bigint")
+    joined = counted.join(found, "number", "left")
+    return joined.select(F.col("doc_id").alias("number"), "n_words", "items", "words", "starts", "ends").mapInArrow(_finish, SCHEMA)
+
+
+def _counts(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = batches.word_table()
     for batch in stream:
-        for lo, hi, data, offsets in batches.slices(batch.column(1)):
-            counts = np.diff(batches.words(data, offsets, table).first)
-            keys = [
-                hashlib.blake2b(data[offsets[r] : offsets[r + 1]], digest_size=16).digest() for r in range(hi - lo)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(keys, pa.binary())],
-                names=["doc_id", "n_words", "text_key"],
-            )
+        for lo, hi, data, offsets in batches.slices(batch.column(2)):
+            counts = pa.array(np.diff(batches.words(data, offsets, table).first), pa.int64())
+            ids = [batch.column(k).slice(lo, hi - lo) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*ids, counts], ["doc_id", "number", "n_words"])
 
 
 def keep_clean(
@@ -244,24 +309,28 @@ def keep_clean(
     gram: int = GRAM,
     index_words: int = INDEX_WORDS,
 ) -> DataFrame:
-    """`docs` without the rows whose text holds a window of an item; columns unchanged, NULL texts stay."""
-    spark = docs.sparkSession
+    """`docs` without the rows whose text holds a window of an item; columns unchanged.
 
-    def clean(shared) -> Column:
-        @F.pandas_udf("boolean")
-        def free(texts: pd.Series) -> pd.Series:
-            index, table = Index(shared.value, window, gram), batches.word_table()
+    NULL and wordless texts stay, and so does everything if the benchmark is empty; repeated rows share one fate.
+    """
+    items = _items(benchmark)
+    shared = _shared_items(items, index_words)
+    if shared is None:
+        rows = docs.select(F.monotonically_increasing_id().alias("number"), whole_row(docs))
+        rows = scratch.through_table(rows, "documents")
+        texts = rows.select("number", F.col("row.text").cast("string").alias("text"))
+        found = _joined_hits(texts, items, window, gram, index_words).select("number")
+        return rows.join(found, "number", "left_anti").select("row.*")
+
+    @F.pandas_udf("boolean")
+    def free(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index, table = Index(shared.value, window, gram), batches.word_table()
+        for texts in parts:
             column, out = pa.array(texts, pa.string(), from_pandas=True), []
             for _, _, data, offsets in batches.slices(column):
                 words = batches.words(data, offsets, table)
                 ends = zip(words.first[:-1], words.first[1:], strict=True)
                 out += [not index.scan(words.hashes[a:b])[1] for a, b in ends]
-            return pd.Series(out, dtype=bool)
-
-        return free(F.col("text").cast("string"))
+            yield pd.Series(out, dtype=bool)
 
-    for number, group in enumerate(_groups(benchmark, index_words)):
-        if number:
-            docs = scratch.through_table(docs, "clean")
-        docs = docs.where(clean(spark.sparkContext.broadcast(group)))
-    return docs
+    return docs.where(free(F.col("text").cast("string")))
