@@ -17,7 +17,8 @@ is the component of every document under these links.
 4. Ties give candidate groups; links never leave a group. The sets of the groups are fetched once, and inside each
    group links are followed from set to set over inverted lists, until no unvisited set is left. Groups of more than
    `GROUP_SHINGLES` are cut into blocks by hash, twice in different ways; links inside blocks usually join the whole
-   group, which is then done. Only where they don't, each pair of blocks is worked on as well.
+   group, which is then done. Where they don't, the sets outside of the group's most common component are sent to its
+   blocks; two sets inside of it need no test.
 
 Hashes have 64 bits, digests 128; ties and groups may contain too much, never too little.
 """
@@ -48,7 +49,7 @@ COMMON_PERCENT = 10
 # A table of candidate groups up to this size is sent to all tasks.
 MAX_GROUP_BYTES = 16 << 20
 # A candidate group beyond this many shingles is worked on in blocks.
-GROUP_SHINGLES = 1 << 18
+GROUP_SHINGLES = 1 << 16
 # A shingle found in more sets than this has its list cut into parts.
 LIST_PART = 2048
 
@@ -403,18 +404,30 @@ def jaccard_components(docs: DataFrame, group_shingles: int = GROUP_SHINGLES) ->
     links = _links(tasks)
     linked = components(links).selectExpr("node AS digest", "component AS leader")
 
-    # Groups in blocks that are still in several parts: every set goes to the pairs of blocks that hold its own.
-    name = F.lower(F.hex("digest")).alias("digest")
-    parts = found.where("blocks > 1").select("g", name).join(linked, "digest", "left")
-    leader = F.coalesce("leader", "digest")
-    open_groups = parts.groupBy("g").agg(F.min(leader).alias("low"), F.max(leader).alias("high")).where("low <> high")
-    open_groups = scratch.through_table(open_groups.select("g"), "open")
-    if open_groups.limit(1).count():
-        own = F.pmod(F.xxhash64("digest"), F.col("blocks"))
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        pairs = found.join(open_groups, "g").select("g", "digest", "shingles", own.alias("own"), other.alias("other"))
-        pair = F.concat_ws(":", "g", F.least("own", "other"), F.greatest("own", "other"))
-        links = links.unionByName(_links(pairs.select(pair.alias("task"), "digest", "shingles")))
+    # Groups in blocks that are still in several components.
+    name = F.lower(F.hex("digest"))
+    size = (F.octet_length("shingles") / 8).cast("bigint").alias("size")
+    parts = found.where("blocks > 1").select("g", "blocks", name.alias("digest"), size).join(linked, "digest", "left")
+    parts = scratch.through_table(parts.withColumn("leader", F.coalesce("leader", "digest")), "parts")
+    leaders = parts.groupBy("g", "leader").agg(F.count(F.lit(1)).alias("sets")).groupBy("g")
+    leaders = leaders.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(-F.col("sets"), "leader").alias("m"))["leader"].alias("common"))
+    outside = parts.join(leaders.where("n > 1"), "g").where("leader <> common").select("g", "blocks", "digest", "size")
+    outside = scratch.through_table(outside, "outside")
+    if outside.limit(1).count():
+        deals = outside.groupBy("g").agg(F.ceil(F.sum("size") / group_shingles).cast("int").alias("deals"))
+        deals = scratch.through_table(deals, "deals")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        deal = F.pmod(F.xxhash64("digest"), F.col("deals")).cast("int").alias("deal")
+        sets_of = found.select("g", "blocks", name.alias("digest"), F.col("digest").alias("own"), "shingles")
+        sent = outside.join(deals, "g").select("g", "digest", every("blocks").alias("block"), deal)
+        sent = sent.join(sets_of.select("digest", "own", "shingles"), "digest")
+        there = sets_of.join(deals, "g").withColumn("block", F.pmod(F.xxhash64("own", F.lit(1)), F.col("blocks")).cast("int"))
+        there = there.select("digest", "g", "block", every("deals").alias("deal"), "own", "shingles")
+        task = F.concat_ws(":", "g", "block", "deal").alias("task")
+        tasks = sent.select(task, F.col("own").alias("digest"), "shingles").unionByName(
+            there.select(task, F.col("own").alias("digest"), "shingles")
+        )
+        links = links.unionByName(_links(tasks))
         linked = components(links).selectExpr("node AS digest", "component AS leader")
 
     # The empty set links with nothing, not even with itself.
