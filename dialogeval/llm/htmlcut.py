@@ -33,7 +33,10 @@ MAX_LOG_ODDS = 8.0
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint, n_blocks bigint, n_kept bigint"
 
 # Elements whose content is no text of the page.
-_RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas")
+_RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "object", "canvas",
+        "annotation", "annotation-xml")
+# Of these the ones that a slash at the end of their tag closes at once.
+_SELF_CLOSING = frozenset(("svg", "annotation", "annotation-xml"))
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -47,7 +50,9 @@ _CLOSES = {
     "li": ("li",), "option": ("option",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "dt": ("dt", "dd"), "dd": ("dt", "dd"),
 }
-_PHRASE_ONLY = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+_LOWER_HEADINGS = _HEADINGS - {"h1"}
+_PHRASE_ONLY = _HEADINGS | {"p"}
 _ASIDE_TAGS = frozenset("nav footer aside form menu dialog button select fieldset search label".split())
 _MAIN_TAGS = frozenset(("article", "main"))
 # Aside elements that may as well hold the whole page.
@@ -60,6 +65,14 @@ _ASIDE_WORDS = frozenset(
     " related recommended recommendations teaser comment comments commentlist disqus respond reply replies discussion"
     " reviews search pager pagination toolbar tags copyright legal disclaimer skip complementary contentinfo form".split()
 )
+# Headings of the comments of readers, as their whole text in small letters.
+_COMMENT_HEADING = re.compile(
+    r"(?:(?:\d+|no|all|reader|readers'|user|latest|recent|show|view) )*comments?(?: \(?\d+\)?| section)?"
+    r"|(?:leave|post|add|write) (?:a|your) (?:comment|reply)|\d+ (?:replies|responses)(?: to .*)?"
+    r"|(?:\d+ |keine )?(?:leser)?kommentare?(?: \(?\d+\)?)?|(?:einen )?kommentar schreiben"
+    r"|(?:\d+ |vos |les )?commentaires?(?: \(?\d+\)?)?|laisser un commentaire"
+    r"|(?:\d+ |los )?comentarios?(?: \(?\d+\)?)?|(?:deja|dejar|escribe|escribir) un comentario"
+)
 _LAYOUT_WORDS = frozenset(("has", "with", "no", "without"))
 _MAIN_WORDS = frozenset("article content post entry story main maincontent articlebody body text prose".split())
 
@@ -72,6 +85,10 @@ _ATTRIBUTE = re.compile(
 )
 # What may hold a semicolon or colon inside a value of a style.
 _STYLE_INNER = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*+\"|'[^']*+'|\([^)]*+\)", re.S)
+# Attributes without these hide nothing.
+_MAY_HIDE = re.compile(r"hidden|style", re.I)
+# The slash at the end belongs to a value without quotes.
+_SLASH_IN_VALUE = re.compile(r"=\s*[^\s\"'>]*/\Z")
 _PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in _RAW}
 
@@ -79,7 +96,7 @@ FEATURES = (
     "bias", "aside_tag", "aside_word", "main_tag", "main_word", "words", "links", "sentences", "heading", "short", "sign",
     "outer_aside",
 )
-PRIOR = np.array([-0.5, -5.0, -5.0, 4.0, 2.0, 0.5, -3.0, 0.5, 0.3, -0.3, -1.0, -1.0])
+PRIOR = np.array([0.25, -5.0, -5.0, 4.0, 2.0, 0.5, -3.0, 0.5, 0.3, -0.3, -1.0, -1.0])
 # Weight of the prior against that of one block of the sample.
 PRIOR_WEIGHT = 0.002
 
@@ -167,6 +184,39 @@ def _wrappers(opened: list[_Open], places: list[_Place], found: list[tuple[str,
     )
 
 
+def _comments(opened: list[_Open], found: list[tuple[str, int, int]]) -> set[int]:
+    """Blocks under a heading of reader comments: up to the end of what it heads or the next heading of its rank."""
+    heads = [
+        i for i, (text, _, number) in enumerate(found)
+        if opened[number].tag in _LOWER_HEADINGS and _COMMENT_HEADING.fullmatch(text.lower().rstrip(" :"))
+    ]
+    if not heads:
+        return set()
+    last = list(range(len(opened)))
+    for e in reversed(opened[1:]):
+        last[e.parent] = max(last[e.parent], last[e.number])
+    out: set[int] = set()
+    for i in heads:
+        if i in out:
+            continue
+        top, rank = opened[found[i][2]], opened[found[i][2]].tag
+        # An element that holds the heading alone is a part of it.
+        while top.parent:
+            up = opened[top.parent]
+            before = i > 0 and found[i - 1][2] >= up.number
+            after = i + 1 < len(found) and up.number <= found[i + 1][2] <= last[up.number]
+            top = up
+            if before or after:
+                break
+        for j in range(i, len(found)):
+            number = found[j][2]
+            tag = opened[number].tag
+            if not top.number <= number <= last[top.number] or (j > i and tag in _HEADINGS and tag <= rank):
+                break
+            out.add(j)
+    return out
+
+
 def _attributes(text: str) -> dict[str, str]:
     """Names and values of the attributes of a tag; of several of one name the first counts."""
     out: dict[str, str] = {}
@@ -192,8 +242,14 @@ def _hides(attributes: dict[str, str]) -> bool:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The blocks of text of a page, with character references decoded and white space joined."""
+    """The blocks of text of a page, with character references decoded and white space joined.
+
+    Text that is not shown is left out, and so is the content of raw elements; a formula keeps its text.
+    """
     out: list[tuple[str, int, int]] = []
+    # The hidden inline element that is open, how many of its name are, and the depth of the stack around it.
+    muted, nested, around = "", 0, 0
+    xml = page.lstrip("\ufeff \t\r\n").startswith("<?xml")
     stack = [_Open("", 0, None, "")]
     opened = stack[:]
     pieces: list[str] = []
@@ -210,7 +266,7 @@ def blocks_of(page: str) -> list[Block]:
         in_link = False
 
     def add(text: str) -> None:
-        if text:
+        if text and not muted:
             text = entities.unescape(text) if "&" in text else text
             pieces.append(text)
             if in_link:
@@ -229,10 +285,18 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = name.lower()
         if tag in _RAW_END:
-            if not closing and not attributes.endswith("/"):
-                end = _RAW_END[tag].search(page, at)
-                at = end.end() if end else size
+            if not closing:
+                slash = attributes.endswith("/") and not _SLASH_IN_VALUE.search(attributes)
+                end = None if slash and (xml or tag in _SELF_CLOSING) else _RAW_END[tag].search(page, at)
+                at = end.end() if end else at if slash else size
             continue
+        if tag not in _BLOCKS and tag not in _VOID:
+            if muted:
+                if tag == muted:
+                    nested += -1 if closing else 1
+                    muted = muted if nested else ""
+            elif not closing and _MAY_HIDE.search(attributes) and _hides(_attributes(attributes)):
+                muted, nested, around = tag, 1, len(stack)
         if tag == "a":
             in_link = not closing
         elif tag == "br":
@@ -245,20 +309,27 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[depth].tag == tag:
                     del stack[depth:]
                     break
+            muted = muted if len(stack) >= around else ""
         else:
             flush()
             ends = _CLOSES.get(tag, ())
             while len(stack) > 1 and (stack[-1].tag in _PHRASE_ONLY or stack[-1].tag in ends):
                 stack.pop()
+            muted = muted if len(stack) >= around else ""
             if tag not in _VOID:
                 stack.append(_Open(tag, len(opened), stack[-1], attributes))
                 opened.append(stack[-1])
+                stack[-1].hidden |= bool(muted) and around < len(stack)
     flush()
     places = _places(opened)
     wrappers = _wrappers(opened, places, out)
     if wrappers:
         places = _places(opened, wrappers)
-    return [_block(text, link_chars, opened[number], places[number]) for text, link_chars, number in out]
+    comments = _comments(opened, out)
+    return [
+        _block(text, link_chars, opened[number], places[number]._replace(aside_word=True) if i in comments else places[number])
+        for i, (text, link_chars, number) in enumerate(out)
+    ]
 
 
 def _block(text: str, link_chars: int, top: _Open, place: _Place) -> Block:
@@ -273,7 +344,7 @@ def _block(text: str, link_chars: int, top: _Open, place: _Place) -> Block:
         min(words, 64) / 16,
         min(1.0, link_chars / len(text)),
         min(sentences, 4) / 2,
-        float(top.tag in ("h1", "h2", "h3", "h4", "h5", "h6")),
+        float(top.tag in _HEADINGS),
         float(words < 4),
         float(text[0] in "©|»›•"),
         1.0 / place.outer if place.outer else 0.0,

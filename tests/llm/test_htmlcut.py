@@ -97,6 +97,50 @@ def test_wrappers_of_the_whole_page(spark, sf_dir):
             assert h.main_text(page, weights)[0] == "\n".join(paragraphs), page
 
 
+def test_hidden_inline_elements():
+    for page in (
+        f"<p>{{}}<span hidden>no <span>no</span> no</span>{LONG}</p>", f'<p>{LONG}<a href=x style="display:none">no</a></p>',
+        f"<p>{LONG}<b aria-hidden=true>no</p>", f'<p>{LONG}</p><span style="display:none"><div><p>No {LONG}</p></div></span>',
+        f"<div><p>{LONG} <i hidden>no</p></div>", f"<p>{LONG}<x-note HIDDEN>no<br>no</x-note></p>", f"<div><i hidden>no</div><p>{LONG}</p>",
+    ):
+        assert h.main_text(f"<article>{page.replace('{}', '')}</article>", h.PRIOR)[0] == LONG, page
+    shown = f'<p><span title="hidden">{LONG}</span> <input type=hidden hidden><span style="color:red">Seen.</span> <br hidden>End.</p>'
+    assert h.main_text(f"<article>{shown}</article>", h.PRIOR)[0] == f"{LONG} Seen. End."
+
+
+def test_formulas_and_raw_elements():
+    formula = "<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding=tex>a=2</annotation></semantics></math>"
+    script = "<script src=//cdn.x/>var a=1;</script>"
+    for raw in (script, '<script src="x"/>var a;</script>', "<svg/>", '<svg viewBox="0 0 1 1" />', "<svg class=a/>no</svg>", '<iframe src="x" />'):
+        page = f"<article><p>{LONG}</p>{raw}<p>The formula {formula} is well known.</p></article>"
+        assert h.main_text(page, h.PRIOR)[0] == f"{LONG}\nThe formula a=2 is well known.", raw
+    page = f'<?xml version="1.0"?><html><body><article><script src="x"/><p>{LONG}</p><script>x</script></article></body></html>'
+    assert h.main_text(page, h.PRIOR)[0] == LONG
+
+
+def test_comments_known_by_their_heading(spark, sf_dir):
+    fitted = h.fit(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    text = "\n".join(f"{i}. {LONG}" for i in range(4))
+    plain = "".join(f"<p>{x}</p>" for x in text.split("\n"))
+    said = f"<div><p>{LONG}</p></div><ul><li>{LONG}</li></ul>"
+    for weights in (h.PRIOR, fitted):
+        for title in ("Comments", "3 comments", "Comments (12)", "Leave a reply", "2 Responses to &quot;x&quot;", "Kommentare:", "Commentaires",
+                      "Comentarios"):
+            for section in (f"<section><h2>{title}</h2>{said}</section>", f"<h3>{title}</h3>{said}", f"<div><div><h2>{title}</h2></div>{said}</div>"):
+                for page in (f"<main>{plain}{section}</main>", f"<article>{plain}</article>{section}", f"<main><div>{plain}</div>{section}</main>"):
+                    assert h.main_text(f"<body>{page}<footer>x</footer></body>", weights)[0] == text, page
+        # Other headings, the next heading of the rank and the title of a page say nothing of readers.
+        for title in ("Comments on the budget of the town", "Discussion", "Remarks"):
+            assert h.main_text(f"<main><h2>{title}</h2>{plain}</main>", weights)[0] == f"{title}\n{text}"
+        page = f"<main>{plain}<h3>Comments</h3>{said}<h2>Method</h2><p>{LONG}</p></main>"
+        assert h.main_text(page, weights)[0] == f"{text}\nMethod\n{LONG}"
+        assert h.main_text(f"<main><h1>Comments</h1>{plain}</main>", weights)[0] == f"Comments\n{text}"
+
+
+def test_short_paragraphs_without_any_labels():
+    assert h.main_text("<body><p>One short line.</p><p>And one more line.</p></body>", h.PRIOR)[0] == "One short line.\nAnd one more line."
+
+
 def test_edges(spark):
     rows = [(1, None, None), (1, None, None), (None, "u", ""), (3, "u", "<script>x"), (4, "u", "just words of a text < that & is >"),
             (5, "u", "<article><p>a&#65;&lt;b&gt;</article>"), (6, "u", "<div" * 3000), (7, "u", "<p>" + "long text. " * 50_000)]
