@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from dialogeval import constants as K
 from dialogeval.operators import entities, rouge
 from dialogeval.plans import training
+from dialogeval.sources import scratch
 
 
 def read_stream(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
@@ -57,12 +58,15 @@ def stream_entities(
 
     The gazetteer is prepared before the first batch; its version is a column of the result, so that results of an older
     one can be told apart. A batch writes its own directory, so a batch that is run again replaces what it wrote before.
+    Intermediate tables of a batch are removed with it, so an endless stream does not fill the shared folder.
     """
     ready = gazetteer if isinstance(gazetteer, entities.Gazetteer) else entities.prepare(gazetteer, types)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        found = entities.extract_entities(batch, ready, column, types)
-        found.withColumn("gazetteer_version", F.lit(ready.version)).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        with scratch.scope(batch.sparkSession):
+            found = entities.extract_entities(batch, ready, column, types)
+            found = found.withColumn("gazetteer_version", F.lit(ready.version))
+            found.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = texts.writeStream.foreachBatch(write).trigger(availableNow=True)
     return writer.option("checkpointLocation", checkpoint).start()

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,38 @@ def test_scratch_uses_the_configured_folder(spark):
     assert stored.count() == 5 and "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_scopes_remove_their_tables_only(spark):
+    def stored(n, fail=False):
+        made.append(scratch.through_table(spark.range(n).toDF("id"), "made"))
+        if fail:
+            raise KeyError(n)
+        return made[-1].where("id > 0")
+
+    made = [scratch.through_table(spark.range(3).toDF("id"), "before")]
+    kept = scratch.finished(spark, "kept", lambda: stored(4))
+    with scratch.scope(spark):
+        inner = scratch.finished(spark, "inner", lambda: stored(5))
+        assert inner.count() == 4
+    with pytest.raises(KeyError), scratch.scope(spark):
+        stored(6, fail=True)
+    assert made[0].count() == 3 and kept.columns == ["id"] and kept.count() == 3
+    paths = [os.path.dirname(f.removeprefix("file://")) for df in (*made[1:], inner) for f in df.inputFiles()]
+    assert paths and not any(os.path.exists(p) for p in paths)
+
+
+def test_entity_stream_leaves_no_tables_of_its_batches(spark, tmp_path):
+    listed = spark.createDataFrame([("Ann", "PER"), ("Ann Lee", "PER")], "entity string, type string")
+    ready = entities.prepare(listed, max_broadcast_bytes=0)
+    source, found = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("Ann Lee sat",), ("Bob",), (None,)], "text string").write.parquet(source)
+    folder = scratch.shared_folder(spark)
+    before = set(os.listdir(folder))
+    jobs.stream_entities(spark.readStream.schema("text string").parquet(source), ready, found, str(tmp_path / "s")).awaitTermination(120)
+    rows = spark.read.parquet(found).where("text IS NOT NULL").collect()
+    assert sorted((r.text, r.entities) for r in rows) == [("Ann Lee sat", ["Ann Lee"]), ("Bob", [])]
+    assert set(os.listdir(folder)) == before
+
+
 def test_training_stream_equals_batch(spark, tmp_path):
     source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     schema = "dialog_id string, response string"
