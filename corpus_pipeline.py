@@ -50,9 +50,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of `documents`."""
+    """All stages over the whole of `documents`.
+
+    What each stage kept stays stored, so that a stage can be looked at or repeated; the tables that it needed on the way
+    are removed. NULL texts and empty tables pass through every stage; their results are told by the operators.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        kept = stage(spark, docs, sf_dir)
-        docs = scratch.through_table(kept.select(*[F.col(c) for c in docs.columns]), f"stage_{name}")
+
+        def kept(stage=stage, docs=docs) -> DataFrame:
+            return stage(spark, docs, sf_dir).select(*[F.col(c) for c in docs.columns])
+
+        docs = scratch.finished(spark, f"stage_{name}", kept)
     return STAGES[-1][1](spark, docs, sf_dir)
