@@ -53,8 +53,43 @@ def _tree(name: str, rows: str) -> str:
   FROM {name} WHERE n > 1 GROUP BY g, i // 3)"""
 
 
+def _needs_larger(exponent: str) -> str:
+    """Are the weights of an exponent too even, or do they repeat a source too often? An aggregate over shares."""
+    z, low, high = f"sum(pow(share, {exponent}))", f"pow(min(share), {exponent} - 1)", f"pow(max(share), {exponent} - 1)"
+    entropy = f"ln({z}) - {exponent} * sum(pow(share, {exponent}) * ln(share)) / {z}"
+    return f"({entropy} > 0.95 * ln(count(*)) OR ({exponent} < 1 AND greatest({low}, {high}) / {z} > 4.0))"
+
+
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": _near_duplicates(80),
+    "op5_mix_sources": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce('=' || source, '-') AS s, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS n,
+    md5(coalesce(text, '')) AS text_key FROM documents),
+source_words AS (SELECT s, CAST(sum(n) AS BIGINT) AS tokens FROM d GROUP BY s HAVING sum(n) > 0),
+shares AS (SELECT s, tokens, tokens / (SELECT sum(tokens) FROM source_words) AS share FROM source_words),
+halved AS (
+  SELECT 0 AS k, CAST(0 AS DOUBLE) AS low, CAST(16 AS DOUBLE) AS high
+  UNION ALL
+  SELECT k + 1, CASE WHEN larger THEN middle ELSE low END, CASE WHEN larger THEN high ELSE middle END
+  FROM (
+    SELECT k, low, high, middle, {_needs_larger('middle')} AS larger
+    FROM (SELECT *, (low + high) / 2 AS middle FROM halved), shares GROUP BY k, low, high, middle)
+  WHERE k < 40),
+exponent AS (
+  SELECT CASE WHEN (SELECT {_needs_larger('0.0')} FROM shares) THEN round(high, 9) ELSE 0 END AS a FROM halved WHERE k = 40),
+weights AS (
+  SELECT s, tokens, round(pow(share, a) / (SELECT sum(pow(share, a)) FROM shares, exponent), 12) AS weight FROM shares, exponent),
+plan AS (SELECT *, weight * (SELECT CAST(sum(tokens) AS DOUBLE) FROM source_words) AS quota FROM weights),
+picks AS (
+  SELECT *, md5(concat_ws(':', 'mix', block, doc_id, text_key)) AS key
+  FROM (SELECT *, unnest(range(CAST(floor(quota / tokens) AS BIGINT) + 1)) AS block FROM d JOIN plan USING (s))),
+placed AS (
+  SELECT *, block * tokens - n + sum(n) OVER (
+    PARTITION BY s, block ORDER BY key, doc_id, text_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS done
+  FROM picks)
+SELECT doc_id, source, n AS n_tokens, CAST(block AS INTEGER) AS block, round(CAST(done AS DOUBLE) / quota, 9) AS position, weight
+FROM placed WHERE done < quota""",
     "op6_decontamination": f"""
 WITH d AS (SELECT doc_id, {_words('text', _WORD)} AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_words('text', _WORD)} AS w FROM benchmark),
