@@ -62,6 +62,64 @@ def _needs_larger(exponent: str) -> str:
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard": _near_duplicates(80),
+    "op3_substring_dedup": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+line AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY doc_id ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low
+  FROM (
+    SELECT doc_id, j, line, length(line) + CASE WHEN j < n THEN 1 ELSE 0 END AS size
+    FROM (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS j, len(l) AS n
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM d)))),
+piece AS (
+  SELECT doc_id, j, p, low + sum(length(p)) OVER (PARTITION BY doc_id, j ORDER BY k) AS stop
+  FROM (SELECT *, unnest(pieces) AS p, unnest(range(len(pieces))) AS k
+    FROM (SELECT doc_id, j, low, regexp_extract_all(line, '[^ \\t-\\r]+|[ \\t-\\r]+') AS pieces FROM line))),
+word AS (
+  SELECT doc_id, j, translate(p, '{_UPPER}', '{_LOWER}') AS w, stop - length(p) AS start, stop,
+    row_number() OVER (PARTITION BY doc_id ORDER BY stop) - 1 AS g,
+    row_number() OVER (PARTITION BY doc_id, j ORDER BY stop) AS i
+  FROM piece WHERE NOT regexp_matches(p, '^[ \\t-\\r]')),
+words AS (
+  SELECT doc_id, j, list(w ORDER BY i) AS w, list(start ORDER BY i) AS starts, max(stop) AS stop, min(g) AS g
+  FROM word GROUP BY doc_id, j),
+opens AS (
+  SELECT doc_id, j, 1 AS i FROM words
+  UNION
+  SELECT doc_id, j, i + 1 FROM word WHERE right(w, 1) IN ('.', '!', '?')),
+ends AS (SELECT * FROM opens UNION SELECT doc_id, j, len(w) + 1 FROM words),
+sentence AS (
+  SELECT o.doc_id, o.j, o.i, min(e.i) AS e
+  FROM opens o JOIN ends e ON o.doc_id = e.doc_id AND o.j = e.j AND e.i >= o.i + 10 GROUP BY ALL),
+unit AS (
+  SELECT doc_id, array_to_string(w, ' ') AS key, low, low + size AS high, g AS first, g + len(w) AS behind
+  FROM words JOIN line USING (doc_id, j) WHERE len(w) >= 3
+  UNION ALL
+  SELECT doc_id, array_to_string(w[i:e - 1], ' '), starts[i], CASE WHEN e <= len(w) THEN starts[e] ELSE stop END,
+    g + i - 1, g + e - 1
+  FROM sentence JOIN words USING (doc_id, j) WHERE NOT (i = 1 AND e = len(w) + 1)),
+leader AS (SELECT key, min((doc_id, first, behind)) AS holder FROM unit GROUP BY key),
+gone AS (
+  SELECT DISTINCT doc_id, low, high FROM unit JOIN leader USING (key)
+  WHERE doc_id > struct_extract(holder, 1) OR first >= struct_extract(holder, 3)),
+marked AS (
+  SELECT *, coalesce(low >= max(high) OVER (
+    PARTITION BY doc_id ORDER BY low, high DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS opens FROM gone),
+numbered AS (
+  SELECT *, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY low, high DESC ROWS UNBOUNDED PRECEDING) AS island
+  FROM marked),
+removed AS (SELECT doc_id, CAST(min(low) AS BIGINT) AS low, CAST(max(high) AS BIGINT) AS high FROM numbered GROUP BY doc_id, island),
+edge AS (
+  SELECT doc_id, low, high FROM removed UNION ALL SELECT doc_id, length(text), NULL FROM d),
+gaps AS (
+  SELECT doc_id, low AS stop, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low, high NULLS LAST), 0) AS start FROM edge),
+kept AS (
+  SELECT doc_id, string_agg(substr(text, start + 1, stop - start), '' ORDER BY start) AS text,
+    string_agg(start || ':' || stop, ',' ORDER BY start) AS spans
+  FROM gaps JOIN d USING (doc_id) WHERE stop > start GROUP BY doc_id),
+cut AS (SELECT doc_id, count(*) AS n, string_agg(low || ':' || high, ',' ORDER BY low) AS spans FROM removed GROUP BY doc_id)
+SELECT d.doc_id, coalesce(kept.text, '') AS text, CAST(length(coalesce(kept.text, '')) AS BIGINT) AS n_chars,
+  coalesce(cut.n, 0) AS n_removed, coalesce(cut.spans, '') AS removed, coalesce(kept.spans, '') AS kept
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)""",
     "op5_mix_sources": f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce('=' || source, '-') AS s, len(regexp_extract_all(coalesce(text, ''), '[^ \\t-\\r]+')) AS n,

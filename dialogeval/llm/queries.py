@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -40,7 +40,11 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substrings.dedup_substrings(_table(spark, folder, "documents"))
+    def said(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(spans)
+
+    cut = substrings.dedup_substrings(_table(spark, folder, "documents"))
+    return cut.select("doc_id", "text", "n_chars", "n_removed", said("removed"), said("kept"))
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:

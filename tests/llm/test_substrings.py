@@ -50,8 +50,10 @@ def test_tables_against_brute_force(spark, sf_dir):
     whole = dict(texts)
     for r in got.collect():
         text = whole[r["doc_id"]]
-        assert "".join(text[s["start"] : s["end"]] for s in r["kept"]) == r["text"]
-        assert sorted([*r["kept"], *r["removed"]], key=lambda s: s["start"])[-1]["end"] == len(text)
+        kept, removed = ([[int(x) for x in s.split(":")] for s in r[c].split(",") if s] for c in ("kept", "removed"))
+        assert "".join(text[a:b] for a, b in kept) == r["text"] and len(removed) == r["n_removed"]
+        # Both kinds of spans together are the whole text, without gap or overlap.
+        assert [0, *(b for _, b in sorted(kept + removed))] == [*(a for a, _ in sorted(kept + removed)), len(text)]
 
 
 def test_lines_and_sentences(docs_of):
