@@ -29,16 +29,58 @@ IRREGULAR = {
     "succeed": "succeed",
 }
 STEP_2 = (
-    "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e ousli:ous "
-    "ization:ize ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive "
-    "biliti:ble fulli:ful"
+    ("ational", "ate"),
+    ("tional", "tion"),
+    ("enci", "ence"),
+    ("anci", "ance"),
+    ("izer", "ize"),
+    ("bli", "ble"),
+    ("alli", "al"),
+    ("entli", "ent"),
+    ("eli", "e"),
+    ("ousli", "ous"),
+    ("ization", "ize"),
+    ("ation", "ate"),
+    ("ator", "ate"),
+    ("alism", "al"),
+    ("iveness", "ive"),
+    ("fulness", "ful"),
+    ("ousness", "ous"),
+    ("aliti", "al"),
+    ("iviti", "ive"),
+    ("biliti", "ble"),
+    ("fulli", "ful"),
+)
+STEP_3 = (
+    ("icate", "ic"),
+    ("ative", ""),
+    ("alize", "al"),
+    ("iciti", "ic"),
+    ("ical", "ic"),
+    ("ful", ""),
+    ("ness", ""),
+)
+STEP_4 = (
+    "al",
+    "ance",
+    "ence",
+    "er",
+    "ic",
+    "able",
+    "ible",
+    "ant",
+    "ement",
+    "ment",
+    "ent",
+    "ion",
+    "ou",
+    "ism",
+    "ate",
+    "iti",
+    "ous",
+    "ive",
+    "ize",
 )
-STEP_3 = "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:"
-STEP_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
-
-_STEP_2 = [tuple(rule.split(":")) for rule in STEP_2.split()]
-_STEP_3 = [tuple(rule.split(":")) for rule in STEP_3.split()]
-_STEP_4 = STEP_4.split()
 
 
 def _shape(word: str) -> str:
@@ -103,11 +145,11 @@ def _double_suffix(word: str) -> str:
         word = word[:-2]
     if word.endswith("logi"):
         return word[:-1] if _measure(word[:-3]) > 0 else word
-    return _first_fit(word, _STEP_2, lambda base: _measure(base) > 0)
+    return _first_fit(word, STEP_2, lambda base: _measure(base) > 0)
 
 
 def _single_suffix(word: str) -> str:
-    for suffix in _STEP_4:
+    for suffix in STEP_4:
         if word.endswith(suffix):
             base = word[: len(word) - len(suffix)]
             fits = _measure(base) > 1 and (suffix != "ion" or base[-1:] in ("s", "t"))
@@ -128,7 +170,7 @@ def stem(word: str) -> str:
     if word in IRREGULAR or len(word) <= 2:
         return IRREGULAR.get(word, word)
     word = _final_y(_past_and_progressive(_plural(word)))
-    word = _first_fit(_double_suffix(word), _STEP_3, lambda base: _measure(base) > 0)
+    word = _first_fit(_double_suffix(word), STEP_3, lambda base: _measure(base) > 0)
     return _final_e_and_double_l(_single_suffix(word))
 
 
