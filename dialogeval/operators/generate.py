@@ -1,7 +1,7 @@
 """Batch generation: every model over every prompt, long table out.
 
 Three kinds of model: extractive ones are column expressions and run in the JVM; the central sentence needs to know how
-common words are in the whole corpus and is a join; any other is a predictor built on the executors, once per model and
+common words are in the whole corpus, so that blocks of dialogues look their words up; any other is a predictor built on the executors, once per model and
 partition, and fed in Arrow batches.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,8 @@ def generate_extractive(
 CENTRAL = "org/central-1"
 # Weights of words are whole numbers of this size, so that sums do not depend on their order.
 WEIGHT_UNIT = 1_000_000
+# The dialogues of a block take about so many bytes; a block has at most so many rows (a power of two).
+BLOCK_BYTES, MOST_BLOCK_ROWS = 16 * 1024 * 1024, 4096
 
 
 def word_weights(texts: DataFrame, column: str) -> DataFrame:
@@ -87,6 +90,33 @@ def word_weights(texts: DataFrame, column: str) -> DataFrame:
     return counted.select("token", weight.alias("weight"))
 
 
+def central_place(sentences: Sequence[str], weight: Mapping[str, int]) -> int:
+    """Place of the sentence, given as words between blanks, with the highest mean weight; the first of equal ones."""
+    place, highest = 0, None
+    for i, sentence in enumerate(sentences):
+        tokens = sentence.split()
+        if not tokens:
+            continue
+        mean = float(sum(weight[t] for t in tokens if t in weight)) / len(tokens)
+        if highest is None or mean > highest:
+            place, highest = i, mean
+    return place
+
+
+def _central_block(key: tuple, rows: pa.Table, store: pa.Table) -> pa.Table:
+    weight: dict[str, int] = {}
+    for token, value in zip(store["token"].to_pylist(), store["weight"].to_pylist()):
+        weight[token] = weight.get(token, 0) + (value or 0)
+    parts = []
+    for batch in rows.to_batches():
+        sentences = batch.column("sentences")
+        sizes = sentences.value_lengths().to_numpy(zero_copy_only=False)
+        places = [central_place(said, weight) for said in batch.column("words").to_pylist()]
+        chosen = sentences.flatten().take(pa.array(np.cumsum(sizes, dtype="int64") - sizes + places, pa.int64()))
+        parts.append(pa.table([batch.column("number"), chosen], names=["number", "sentence"]))
+    return pa.concat_tables(parts) if parts else pa.table({"number": pa.array([], pa.int64()), "sentence": pa.array([], pa.string())})
+
+
 def generate_central(
     prompts: DataFrame,
     dialog: str = "model_input",
@@ -98,28 +128,28 @@ def generate_central(
 
     `weights` is a table `(token, weight)` with whole numbers; the default are the inverse document frequencies over the
     dialogues of `prompts`. Every occurrence of a word counts; words without a weight weigh nothing. Ties go to the first
-    sentence, so do dialogues without words; without a sentence the output is missing. Rows need no key. Sentences stay
-    where they are: places and words of sentences are shuffled, words that many sentences share are salted if the weights
-    are too large to be sent to all tasks.
+    sentence, so do dialogues without words; without a sentence the output is missing. Rows need no key. Dialogues are
+    worked on in blocks: a block fetches the weight of each of its distinct words once, and its dialogues, which are
+    shuffled once, meet that store. So neither words nor sentences become rows of a shuffle. Words that many blocks share
+    are salted if the weights are too large to be sent to all tasks.
     """
     rows = prompts.select(F.monotonically_increasing_id().alias("number"), whole_row(prompts))
     rows = scratch.through_table(rows, "prompts")
-    sentences = text.sentences(F.col(f"row.`{dialog}`"))
+    said = F.col(f"row.`{dialog}`")
     if weights is None:
-        weights = scratch.through_table(word_weights(rows.select(F.col(f"row.`{dialog}`").alias("text")), "text"), "weights")
-    split = rows.select("number", F.posexplode(sentences).alias("place", "sentence"))
-    words = split.select("number", "place", F.explode(F.split(text.words(F.col("sentence")), " ")).alias("token"))
-    words = words.where("token <> ''").groupBy("number", "place", "token").agg(F.count(F.lit(1)).alias("n"))
-    size = words.groupBy("number", "place").agg(F.sum("n").alias("words"))
-    found = lookup_join(words, weights, "token", ["number", "place"], max_broadcast_bytes=max_broadcast_bytes)
-    found = found.groupBy("number", "place").agg(F.sum(F.col("n") * F.col("weight")).alias("weight"))
-    mean = F.coalesce(F.col("weight"), F.lit(0)) / F.col("words")
-    ranked = size.join(found, ["number", "place"], "left").select("number", "place", mean.alias("mean"))
-    # The highest mean, then the first place, by numbers only.
-    top = ranked.groupBy("number").agg(F.max("mean").alias("mean"))
-    best = ranked.join(top, ["number", "mean"]).groupBy("number").agg(F.min("place").alias("place"))
-    output = F.try_element_at(sentences, F.coalesce("place", F.lit(0)) + 1)
-    return rows.join(best, "number", "left").select("row.*", F.lit(model).alias("model"), output.alias("model_output"))
+        weights = scratch.through_table(word_weights(rows.select(said.alias("text")), "text"), "weights")
+    most = BLOCK_BYTES / max(1.0, rows.agg(F.avg(F.octet_length(said))).first()[0] or 1.0)
+    block = F.shiftright("number", max(0, min(int(most), MOST_BLOCK_ROWS).bit_length() - 1)).alias("block")
+    tokens = rows.select(block, F.explode(F.array_distinct(F.split(text.words(said), " "))).alias("token"))
+    tokens = scratch.through_table(tokens.where("token <> ''").distinct(), "block_words")
+    store = lookup_join(tokens, weights, "token", ["block"], max_broadcast_bytes=max_broadcast_bytes)
+    # The texts travel as they are; what is made of them, only to the Python worker.
+    held = rows.select(block, "number", said.alias("said")).where("said IS NOT NULL").repartition("block")
+    split = held.select("block", "number", text.sentences(F.col("said")).alias("sentences")).where(F.size("sentences") > 0)
+    split = split.withColumn("words", F.transform("sentences", text.words))
+    picked = split.groupBy("block").cogroup(store.select("block", "token", "weight").groupBy("block"))
+    picked = picked.applyInArrow(_central_block, "number bigint, sentence string")
+    return rows.join(picked, "number", "left").select("row.*", F.lit(model).alias("model"), F.col("sentence").alias("model_output"))
 
 
 def batch_generate(

@@ -451,3 +451,33 @@ def test_central_sentence(spark):
     assert measured["zebra"] == round(math.log(5) * 1e6) and measured["the"] == round(math.log(5 / 4) * 1e6)
     own = {r.number: r.model_output for r in generate.generate_central(df).collect()}
     assert own["1"] == "The zebra sat" and own["5"] == "Quark? the"
+
+
+def central_by_hand(dialogue, weight):
+    """The sentence with the highest mean weight, the first of equal ones."""
+    said = [x.strip() for x in (dialogue or "").replace("\n", ".").split(".") if x.strip()]
+    means = [(sum(weight.get(t, 0) for t in s.split()) / len(s.split()), -i) for i, s in enumerate(said)]
+    return said[-max(means)[1]] if said else None
+
+
+def central_corpus(spark, parts):
+    texts = [". ".join(f"w{i % 7} w{(i * j) % 11} w{j} the w{(i + j) % 5}" for j in range(6)) for i in range(90)]
+    rows = [(i, t) for i, t in enumerate([*texts, texts[0], None, "", " . \n"])]
+    return rows, spark.createDataFrame(rows, "number int, model_input string").repartition(parts)
+
+
+def looked_up(monkeypatch):
+    """Counts the rows that meet the weights."""
+    met, join = [], generate.lookup_join
+    monkeypatch.setattr(generate, "lookup_join", lambda rows, *a, **b: met.append(rows.count()) or join(rows, *a, **b))
+    return met
+
+
+def test_a_block_looks_up_its_distinct_words_once(spark, monkeypatch):
+    met = looked_up(monkeypatch)
+    rows, df = central_corpus(spark, 2)
+    weight = {r.token: r.weight for r in generate.word_weights(df, "model_input").collect()}
+    found = {r.number: r.model_output for r in generate.generate_central(df).collect()}
+    assert found == {i: central_by_hand(t, weight) for i, t in rows}
+    words = {w for _, t in rows for w in (t or "").replace(".", "").split()}
+    assert met[0] <= 2 * len(words)  # not a row for every sentence and word
