@@ -7,6 +7,7 @@ partition, and fed in Arrow batches.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from dialogeval.functions import text
-from dialogeval.operators.joins import MAX_BROADCAST_BYTES, lookup_join, whole_row
+from dialogeval.operators.joins import MAX_BROADCAST_BYTES, lookup_join, row_size, whole_row
 from dialogeval.sources import scratch
 
 Predictor = Callable[[list], Sequence[str]]
+# Prompts that are spread go to so many tasks that each gets about so many bytes at most.
+TASK_BYTES = 128 * 1024 * 1024
 
 
 def first_of(sentences: Column) -> Column:
@@ -167,9 +170,9 @@ def batch_generate(
     `build(model_id, settings)` makes a predictor on the executor; it maps a list of inputs to as many outputs.
     `settings` carries temperature, top_p, max_tokens and the like. Every model is a branch of its own, so a task builds
     one predictor, and branches need no shuffle. With `partitions_per_model` the work of each is first spread by unique
-    `row_id`; the batch size is `spark.sql.execution.arrow.maxRecordsPerBatch`. Only the inputs become Python values;
-    all other columns pass through as they are. With `distinct`, equal inputs go to a model once and the outputs are
-    joined back.
+    `row_id` over so many tasks, or over more if one would get more than about `TASK_BYTES`; the batch size is
+    `spark.sql.execution.arrow.maxRecordsPerBatch`. Only the inputs become Python values; all other columns pass through
+    as they are. With `distinct`, equal inputs go to a model once and the outputs are joined back.
     """
     if partitions_per_model and row_id is None:
         raise ValueError("spreading the work needs a unique row_id")
@@ -183,7 +186,8 @@ def batch_generate(
         return keyed.join(outputs.drop(model_input), "_input_key").drop("_input_key")
     work = prompts
     if partitions_per_model:
-        work = prompts.repartition(partitions_per_model, F.xxhash64(row_id))
+        size = prompts.agg(F.sum(row_size(prompts).cast("bigint"))).first()[0] or 0
+        work = prompts.repartition(max(partitions_per_model, math.ceil(size / TASK_BYTES)), F.xxhash64(row_id))
     schema = StructType(
         [*prompts.schema.fields, StructField("model", StringType()), StructField("model_output", StringType())]
     )

@@ -481,3 +481,15 @@ def test_a_block_looks_up_its_distinct_words_once(spark, monkeypatch):
     assert found == {i: central_by_hand(t, weight) for i, t in rows}
     words = {w for _, t in rows for w in (t or "").replace(".", "").split()}
     assert met[0] <= 2 * len(words)  # not a row for every sentence and word
+
+
+def test_spread_grows_with_the_prompts(spark, monkeypatch):
+    monkeypatch.setattr(generate, "TASK_BYTES", 10_000, raising=False)
+    rows = [(i, f"{i} " + "x" * 400) for i in range(200)]
+    df = spark.createDataFrame(rows, "row_id int, model_input string").repartition(1)
+    build = lambda m, s: lambda inputs: [f"{m}{len(x)}" for x in inputs]
+    run = lambda d: generate.batch_generate(d, ["a"], build, row_id="row_id", partitions_per_model=2)
+    sizes = [len(part) for part in run(df).rdd.glom().collect()]
+    assert sum(sizes) == 200 and max(sizes) < 60 and len(sizes) == 9
+    assert run(df.limit(5)).rdd.getNumPartitions() == 2  # few prompts are spread as asked
+    assert sorted(r.model_output for r in run(df).collect()) == sorted(f"a{len(x)}" for _, x in rows)
