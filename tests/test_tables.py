@@ -483,6 +483,20 @@ def test_a_block_looks_up_its_distinct_words_once(spark, monkeypatch):
     assert met[0] <= 2 * len(words)  # not a row for every sentence and word
 
 
+def test_blocks_meet_weights_too_large_to_broadcast(spark, monkeypatch):
+    met = looked_up(monkeypatch)
+    rows, df = central_corpus(spark, 3)
+    weights = [("the", 5), ("w1", 9), ("w1", 2), ("w4", None), ("w10", 30), (None, 7), ("unheard", 99)]
+    table = spark.createDataFrame(weights, "token string, weight bigint")
+    summed = {"the": 5, "w1": 11, "w10": 30}
+    expected = sorted((i, str(central_by_hand(t, summed))) for i, t in rows)
+    for most_rows in (1, 8, 4096):
+        monkeypatch.setattr(generate, "MOST_BLOCK_ROWS", most_rows, raising=False)
+        found = generate.generate_central(df, weights=table, max_broadcast_bytes=0)
+        assert sorted((r.number, str(r.model_output)) for r in found.collect()) == expected
+    assert met[0] > met[1] > met[2]  # larger blocks look fewer words up
+
+
 def test_spread_grows_with_the_prompts(spark, monkeypatch):
     monkeypatch.setattr(generate, "TASK_BYTES", 10_000, raising=False)
     rows = [(i, f"{i} " + "x" * 400) for i in range(200)]
