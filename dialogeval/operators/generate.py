@@ -22,7 +22,7 @@ from dialogeval.operators.joins import MAX_BROADCAST_BYTES, lookup_join, row_siz
 from dialogeval.sources import scratch
 
 Predictor = Callable[[list], Sequence[str]]
-# Prompts that are spread go to so many tasks that each gets about so many bytes at most.
+# Prompts that are shuffled go to so many tasks that each gets about so many bytes at most.
 TASK_BYTES = 128 * 1024 * 1024
 
 
@@ -141,13 +141,17 @@ def generate_central(
     said = F.col(f"row.`{dialog}`")
     if weights is None:
         weights = scratch.through_table(word_weights(rows.select(said.alias("text")), "text"), "weights")
-    most = BLOCK_BYTES / max(1.0, rows.agg(F.avg(F.octet_length(said))).first()[0] or 1.0)
+    mean, total = rows.agg(F.avg(F.octet_length(said)), F.sum(F.octet_length(said).cast("bigint"))).first()
+    most = BLOCK_BYTES / max(1.0, mean or 1.0)
     block = F.shiftright("number", max(0, min(int(most), MOST_BLOCK_ROWS).bit_length() - 1)).alias("block")
     tokens = rows.select(block, F.explode(F.array_distinct(F.split(text.words(said), " "))).alias("token"))
     tokens = scratch.through_table(tokens.where("token <> ''").distinct(), "block_words")
     store = lookup_join(tokens, weights, "token", ["block"], max_broadcast_bytes=max_broadcast_bytes)
     # The texts travel as they are; what is made of them, only to the Python worker.
-    held = rows.select(block, "number", said.alias("said")).where("said IS NOT NULL").repartition("block")
+    held = rows.select(block, "number", said.alias("said")).where("said IS NOT NULL")
+    tasks = math.ceil((total or 0) / TASK_BYTES)
+    usual = int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = held.repartition(tasks, "block") if tasks > usual else held.repartition("block")
     split = held.select("block", "number", text.sentences(F.col("said")).alias("sentences")).where(F.size("sentences") > 0)
     split = split.withColumn("words", F.transform("sentences", text.words))
     picked = split.groupBy("block").cogroup(store.select("block", "token", "weight").groupBy("block"))

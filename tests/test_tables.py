@@ -497,6 +497,17 @@ def test_blocks_meet_weights_too_large_to_broadcast(spark, monkeypatch):
     assert met[0] > met[1] > met[2]  # larger blocks look fewer words up
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_blocks_go_to_more_tasks_than_usual_when_texts_are_large(spark, monkeypatch, limit):
+    monkeypatch.setattr(generate, "TASK_BYTES", 1000, raising=False)
+    rows, df = central_corpus(spark, 3)
+    weight = {"the": 5, "w1": 11, "w10": 30}
+    table = spark.createDataFrame([*weight.items()], "token string, weight bigint")
+    found = generate.generate_central(df, weights=table, max_broadcast_bytes=limit)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.number, str(r.model_output)) for r in found.collect()) == sorted((i, str(central_by_hand(t, weight))) for i, t in rows)
+
+
 def test_spread_grows_with_the_prompts(spark, monkeypatch):
     monkeypatch.setattr(generate, "TASK_BYTES", 10_000, raising=False)
     rows = [(i, f"{i} " + "x" * 400) for i in range(200)]
